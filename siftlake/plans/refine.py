@@ -38,7 +38,7 @@ def evaluate(
     )
 
 
-def _outcome() -> Column:
+def outcome_column() -> Column:
     return (
         F.when(F.col("verdict").isNotNull(), F.col("verdict"))
         .when(F.col("is_duplicate"), F.lit(DUPLICATE))
@@ -107,5 +107,5 @@ def refine(
     """
     evaluated = evaluate(raw, as_of, mappers)
     marked = mark_duplicates(evaluated, policy, eligible=F.col("verdict").isNull())
-    classified = marked.withColumn("outcome", _outcome()).drop("verdict", "is_duplicate")
+    classified = marked.withColumn("outcome", outcome_column()).drop("verdict", "is_duplicate")
     return RefineResult(classified, as_of)
