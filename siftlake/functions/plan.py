@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,3 +28,9 @@ def fence(df: DataFrame, *names: str) -> DataFrame:
     kept = [F.col(f"`{name}`") for name in df.columns if name not in names]
     row = F.struct(*[F.col(f"`{name}`") for name in names])
     return df.select(*kept, F.inline(F.array(row)))
+
+
+def one_row(*parts: DataFrame) -> DataFrame:
+    """Frames of one row each as one row, without a join."""
+    merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    return merged.agg(*[F.any_value(F.col(name), F.lit(True)).alias(name) for name in merged.columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.functions.plan import one_row
 from siftlake.operators.ordering import with_position
 
 DEFAULT_LIMIT = 50
@@ -39,8 +40,7 @@ def dlq_envelope(records: DataFrame, limit: int = DEFAULT_LIMIT, offset: int = 0
     columns = [name for name in records.columns if name != "seq"]
     page = dlq_page(records, limit, offset).select("seq", F.struct(*columns).alias("_record"))
     entries = page.agg(F.sort_array(F.collect_list(F.struct("seq", "_record")), asc=False).alias("_entries"))
-    # Two one-row frames side by side.
-    return dlq_count(records).join(F.broadcast(entries), F.lit(True)).select(
+    return one_row(dlq_count(records), entries).select(
         F.col("n").alias("total"),
         F.lit(offset).alias("offset"),
         F.lit(limit).alias("limit"),

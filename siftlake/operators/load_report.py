@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.functions.plan import one_row
 from siftlake.operators.ordering import with_position
 
 ACCEPTED, REFUSED = 202, 429
@@ -35,8 +36,7 @@ def load_report(results: DataFrame, duration: float, key: str = "seq") -> DataFr
         *[F.max(F.when(F.col("position") == spot, F.col("latency"))).alias(f"_{name}") for name, spot in spots.items()]
     )
     share = F.greatest(F.col("total"), F.lit(1))
-    # Two one-row frames side by side.
-    return counts.join(F.broadcast(picked), F.lit(True)).select(
+    return one_row(counts, picked).select(
         "total",
         "success",
         (F.lit(100) * F.col("success") / share).alias("success_pct"),

@@ -5,10 +5,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -16,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from siftlake.operators.dedup import DedupPolicy
 from siftlake.session import STREAM_SETTINGS
 
-_FOREVER = np.iinfo(np.int64).max
+_FOREVER = (1 << 63) - 1
 # How long a stream may run behind its data before state is dropped too early.
 DEFAULT_MAX_LAG_SECONDS = 7 * 86_400
 # Rows outside the decision are spread over this many keys, none of which gets state.
@@ -39,31 +37,30 @@ class _BlockUntil(StatefulProcessor):
         self._handle = handle
         self._state = handle.getValueState("until", T.StructType(fields))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows), ignore_index=True)
-        if not frame["dedup_eligible"].iloc[0]:
-            yield frame.assign(is_duplicate=False)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # Most ids come once per micro-batch, so rows are cheaper here than frames.
+        arrived = list(rows)
+        if not arrived[0].dedup_eligible:
+            for row in arrived:
+                yield Row(**row.asDict(), is_duplicate=False)
             return
-        frame = frame.sort_values(["dedup_at_us", "seq"], ignore_index=True)
+        arrived.sort(key=lambda row: (row.dedup_at_us, row.seq))
         stored = self._state.get()
-        until = None if stored is None else stored[0]
-        before = until
-        dropped = np.zeros(len(frame), dtype=bool)
-        for i, at in enumerate(frame["dedup_at_us"].to_numpy()):
-            if until is not None and at < until:
-                dropped[i] = True
-            else:
-                until = _FOREVER if self._ttl_us is None else int(at) + self._ttl_us
+        until = before = None if stored is None else stored[0]
+        for row in arrived:
+            is_duplicate = until is not None and row.dedup_at_us < until
+            if not is_duplicate:
+                until = _FOREVER if self._ttl_us is None else row.dedup_at_us + self._ttl_us
+            yield Row(**row.asDict(), is_duplicate=is_duplicate)
         if until != before:
             forget = _FOREVER
             if self._ttl_us is not None:
-                clock_ms = int(frame["dedup_clock"].iloc[0].timestamp() * 1_000)
+                clock_ms = int(arrived[0].dedup_clock.timestamp() * 1_000)
                 forget = clock_ms + self._ttl_us // 1_000 + self._max_lag_ms
                 self._handle.registerTimer(forget)
-            self._state.update((int(until), forget))
-        yield frame.assign(is_duplicate=dropped)
+            self._state.update((until, forget))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # A later accepted event has put the moment off and set a timer of its own.
         stored = self._state.get()
         if stored is not None and stored[1] <= expiredTimerInfo.getExpiryTimeInMs():
@@ -109,7 +106,7 @@ def mark_duplicates_stream(
     if ttl_us is not None:
         keyed = keyed.withColumn("dedup_clock", F.current_timestamp()).withWatermark("dedup_clock", "0 seconds")
     output = T.StructType([*keyed.schema.fields, T.StructField("is_duplicate", T.BooleanType())])
-    marked = keyed.groupBy("dedup_key").transformWithStateInPandas(
+    marked = keyed.groupBy("dedup_key").transformWithState(
         statefulProcessor=_BlockUntil(ttl_us, max_lag_seconds),
         outputStructType=output,
         outputMode="Append",
