@@ -9,7 +9,8 @@ out-of-range times and seven timestamp styles. Every event is kept.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from siftlake.sources.refined import spread
 
 AS_OF = "2024-02-01T00:00:00Z"
 
@@ -91,4 +92,4 @@ def raw_from_events(events: DataFrame) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return raw_from_events(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))

@@ -10,8 +10,11 @@ _UNPRINTABLE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
 
 
 def is_blank(text: Column) -> Column:
-    """Null, empty, or nothing but whitespace of any script."""
-    return text.isNull() | text.rlike(r"(?U)\A[\s\x1c-\x1f]*\z")
+    """Null, empty, or nothing but whitespace of any script.
+
+    Most texts start with a plain visible character and skip the pattern.
+    """
+    return text.isNull() | (~F.ascii(text).between(33, 126) & text.rlike(r"(?U)\A[\s\x1c-\x1f]*\z"))
 
 
 def quoted(text: Column) -> Column:

@@ -41,14 +41,17 @@ def parse_event_time(df: DataFrame, json_column: str) -> DataFrame:
         _text=F.upper(string_content(value)),
         _number=F.when(value == "true", F.lit(1.0))
         .when(value == "false", F.lit(0.0))
-        .when(value.rlike("^-?[0-9]"), value.try_cast("double")),
+        .when(F.translate(F.substring(value, 1, 1), "-0123456789", "") == "", value.try_cast("double")),
     )
     text, number = F.col("_text"), F.col("_number")
     df = step(
         df,
         _seconds=F.when(number < _MILLIS_FROM, number).otherwise(number / F.lit(1000.0)),
-        _zone=F.when(text.rlike(_ZONED), F.regexp_extract(text, r"(Z|[+-][0-9:.]+)\z", 1)),
-        _plain=text.rlike(_BLANK_SEPARATED),
+        _zone=F.when(
+            text.contains("T") & text.rlike(_ZONED),
+            F.when(text.endswith("Z"), F.lit("Z")).otherwise(F.regexp_extract(text, r"([+-][0-9:.]+)\z", 1)),
+        ),
+        _plain=~text.contains("T") & text.rlike(_BLANK_SEPARATED),
     )
     seconds, zone = F.col("_seconds"), F.col("_zone")
     near = (seconds > float(_FIRST_SECOND - 1)) & (seconds < float(_END_SECOND + 1))

@@ -103,7 +103,7 @@ def _chain(instants: DataFrame, ids: DataFrame, ttl_us: int) -> DataFrame:
 def ttl_duplicates(narrow: DataFrame, ttl_us: int, fold_limit: int | None = None) -> DataFrame:
     """``event_id, seq`` of the arrivals that fall into the block of an accepted one."""
     fold_limit = FOLD_LIMIT if fold_limit is None else fold_limit
-    # Several passes follow; they read these three columns instead of the events.
+    # Several passes follow; they read these three columns and nothing upstream.
     narrow = checkpointed(narrow)
     instants = narrow.groupBy("event_id", "at_us").agg(F.min("seq").alias("seq"), F.count("*").alias("_rows"))
     # Ids that occur once are settled and gone here.

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftlake.functions.plan import fence
+from siftlake.functions.plan import fence, step
 from siftlake.functions.text import is_blank, quoted
 from siftlake.functions.timestamps import MICROS, as_instant, iso_text
 from siftlake.functions.values import is_empty_object
@@ -18,50 +20,36 @@ FUTURE_TOLERANCE_SECONDS = 300
 RULES = ("event_id", "source", "event_timestamp", "payload", "version")
 
 
-def _violations(as_of: Column, offset_us: Column, may_be_empty: Column) -> Column:
-    """array<struct<rule, message>> of the failed rules, in rule order."""
-    event_id, source, version = F.col("event_id"), F.col("source"), F.col("version")
-    event_us = F.unix_micros("event_timestamp")
-    limit_us = F.unix_micros(as_of) + F.lit(FUTURE_TOLERANCE_SECONDS * MICROS)
-
-    def failed(rule: str, condition: Column, message: Column) -> Column:
-        return F.when(condition, F.struct(F.lit(rule).alias("rule"), message.alias("message")))
-
-    return F.array_compact(F.array(
-        failed(
-            "event_id",
-            ~F.coalesce(event_id.rlike(UUID_PATTERN), F.lit(False)),
-            F.concat(F.lit("event_id is not a valid UUID: "), quoted(event_id)),
-        ),
-        failed("source", is_blank(source), F.lit("source is empty")),
-        failed(
-            "event_timestamp",
-            event_us > limit_us,
-            F.concat(F.lit("event_timestamp is in the future: "), iso_text(event_us, offset_us)),
-        ),
-        failed(
-            "payload",
-            may_be_empty & is_empty_object(F.col("payload")),
-            F.lit("payload is empty"),
-        ),
-        failed(
-            "version",
-            version < 1,
-            F.concat(F.lit("version must be >= 1, got "), version.cast("string")),
-        ),
-    ))
-
-
 def validate(events: DataFrame, as_of: object = None) -> DataFrame:
-    """Add ``violations`` and ``is_valid`` to canonical events.
+    """Add ``violations`` (array<struct<rule, message>>, in rule order) and ``is_valid``.
 
     ``event_offset_us`` (zone the time was written in) and ``may_be_empty``
     are used when present; without them UTC is shown and payloads are checked.
     """
-    offset = F.col("event_offset_us") if "event_offset_us" in events.columns else F.lit(0).cast("bigint")
+    offset_us = F.col("event_offset_us") if "event_offset_us" in events.columns else F.lit(0).cast("bigint")
     may_be_empty = F.col("may_be_empty") if "may_be_empty" in events.columns else F.lit(True)
-    found = events.withColumn("violations", _violations(as_instant(as_of), offset, may_be_empty))
-    return fence(found, "violations").withColumn("is_valid", F.size("violations") == 0)
+    event_id, version, event_us = F.col("event_id"), F.col("version"), F.unix_micros("event_timestamp")
+    limit_us = F.unix_micros(as_instant(as_of)) + F.lit(FUTURE_TOLERANCE_SECONDS * MICROS)
+    failures = [
+        (~F.coalesce(event_id.rlike(UUID_PATTERN), F.lit(False)),
+         F.concat(F.lit("event_id is not a valid UUID: "), quoted(event_id))),
+        (is_blank(F.col("source")), F.lit("source is empty")),
+        (event_us > limit_us,
+         F.concat(F.lit("event_timestamp is in the future: "), iso_text(event_us, offset_us))),
+        (may_be_empty & is_empty_object(F.col("payload")), F.lit("payload is empty")),
+        (version < 1, F.concat(F.lit("version must be >= 1, got "), version.cast("string"))),
+    ]
+    # Flags first: messages are only put together for the few events that fail.
+    flags = [f"_failed_{rule}" for rule in RULES]
+    flagged = step(events, **{flag: F.coalesce(failed, F.lit(False)) for flag, (failed, _) in zip(flags, failures)})
+    nothing = F.array().cast("array<struct<rule:string,message:string>>")
+    found = F.flatten(F.array(*[
+        F.when(F.col(flag), F.array(F.struct(F.lit(rule).alias("rule"), message.alias("message")))).otherwise(nothing)
+        for flag, rule, (_, message) in zip(flags, RULES, failures)
+    ]))
+    any_failed = reduce(lambda left, right: left | right, [F.col(flag) for flag in flags])
+    checked = flagged.withColumn("violations", F.when(any_failed, found).otherwise(nothing)).drop(*flags)
+    return fence(checked, "violations").withColumn("is_valid", F.size("violations") == 0)
 
 
 def error_reason(violations: Column) -> Column:

@@ -22,7 +22,11 @@ UNHANDLED_REASON = "unhandled processing error"
 def evaluate(
     raw: DataFrame, as_of: object = None, mappers: dict[str, Mapping] | None = None
 ) -> DataFrame:
-    """Normalize and validate; ``verdict`` is the outcome before dedup (NULL: still open)."""
+    """Normalize and validate; ``verdict`` is the outcome before dedup (NULL: still open).
+
+    Every event carries one payload: the cleaned one, or for a rejected event
+    ``raw_payload``, as it came.
+    """
     checked = validate(normalize(raw, as_of, mappers), as_of)
     verdict = (
         F.when(F.col("parse_error"), F.lit(UNHANDLED)).when(~F.col("is_valid"), F.lit(VALIDATION))
@@ -31,8 +35,12 @@ def evaluate(
         F.when(F.col("parse_error"), F.lit(UNHANDLED_REASON))
         .when(~F.col("is_valid"), error_reason(F.col("violations")))
     )
+    rejected = F.col("verdict").isNotNull()
+    columns = {name: F.col(name) for name in CANONICAL_COLUMNS}
+    columns["payload"] = F.when(~rejected, F.col("payload")).alias("payload")
     return checked.withColumn("verdict", verdict).select(
-        *CANONICAL_COLUMNS, "seq", "raw_payload", "ts_fallback", "verdict",
+        *columns.values(), "seq", F.when(rejected, F.col("raw_payload")).alias("raw_payload"),
+        "ts_fallback", "verdict",
         reason.alias("error_reason"),
         F.when(F.col("verdict") == VALIDATION, F.col("violations")["rule"]).alias("failed_rules"),
     )
@@ -70,17 +78,6 @@ class RefineResult:
         """Events per source and outcome; every counter is a sum over it."""
         return self.classified.groupBy("source", "outcome").agg(F.count("*").alias("n"))
 
-    def staged(self, path: str | None = None) -> RefineResult:
-        """The same result read from a table written once.
-
-        For callers with several outputs: the events are partitioned by outcome,
-        so each output reads only its part. ``path`` defaults to the shared folder.
-        """
-        spark = self.classified.sparkSession
-        path = path or scratch_path(spark, "classified")
-        self.classified.write.mode("overwrite").partitionBy("outcome").parquet(path)
-        return RefineResult(spark.read.schema(self.classified.schema).parquet(path), self.as_of)
-
 
 def dlq_records(classified: DataFrame, as_of: object = None) -> DataFrame:
     """Rejected events with their payload as it came, before any mapping."""
@@ -93,19 +90,36 @@ def dlq_records(classified: DataFrame, as_of: object = None) -> DataFrame:
     )
 
 
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet (by default to the shared folder) and read from there."""
+    path = path or scratch_path(df.sparkSession, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refine(
     raw: DataFrame,
     as_of: object = None,
     policy: DedupPolicy | str = "first",
     mappers: dict[str, Mapping] | None = None,
+    stage: bool = True,
+    stage_path: str | None = None,
 ) -> RefineResult:
     """Classify raw events (``seq, event_id, source, payload, received_at``).
 
     ``as_of`` is the processing time: None for the current one, or an instant
     (ISO text with zone, or a Column) for repeatable runs. A rejected event
     never registers its id.
+
+    Dedup looks at the events twice: at three columns to decide, and at all of
+    them to mark. Parsing costs far more than writing and reading, so the
+    evaluated events are staged once, and the first look reads only its columns.
+    ``stage=False`` parses twice and writes nothing.
     """
+    policy = DedupPolicy(policy) if isinstance(policy, str) else policy
     evaluated = evaluate(raw, as_of, mappers)
+    if stage and policy.kind != "off":
+        evaluated = staged(evaluated, stage_path)
     marked = mark_duplicates(evaluated, policy, eligible=F.col("verdict").isNull())
     classified = marked.withColumn("outcome", outcome_column()).drop("verdict", "is_duplicate")
     return RefineResult(classified, as_of)
