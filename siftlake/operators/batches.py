@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.operators.attach import attach
 from siftlake.operators.ordering import with_position
+from siftlake.session import checkpointed
 
 MICROS = 1_000_000
 # The batch limits used when none are given.
@@ -74,7 +76,9 @@ def assign_batches(
     narrow = events.select(F.unix_micros(at).alias("at_us"), "seq")
     placed, _ = with_position(narrow, ["at_us", "seq"])
     placed = placed.withColumn("tick", tick(F.timestamp_micros("at_us"), interval, start_us))
-    starts = placed.groupBy("tick").agg(F.min("position").alias("_start"))
-    return placed.join(starts, "tick").select(
+    starts = checkpointed(
+        placed.groupBy("tick").agg(F.count("*").alias("_n"), F.min("position").alias("_start"))
+    )
+    return attach(placed, starts, "tick", "_n").select(
         "seq", "tick", F.floor((F.col("position") - F.col("_start")) / max_size).cast("bigint").alias("chunk")
     )

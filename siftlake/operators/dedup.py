@@ -12,8 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.operators.attach import attach
 from siftlake.operators.dedup_lru import lru_duplicates
 from siftlake.operators.dedup_ttl import ttl_duplicates
+from siftlake.session import checkpointed
 
 POLICIES = ("first", "lru", "ttl", "off")
 # The capacity and time-to-live used when none is given.
@@ -61,20 +63,18 @@ def _mark_first(events: DataFrame, eligible: Column) -> DataFrame:
     """Duplicates are the rows of a repeated id other than its first arrival.
 
     The aggregation combines before its shuffle, so a hot id costs one row per
-    task. The join meets at most one row per id on the right; the rows of a hot
-    id on the left are split by the adaptive skew join, and when repeated ids
-    are few the right side is broadcast on its measured size.
+    task; only ids that do repeat are kept and joined back.
     """
-    repeated = (
+    repeated = checkpointed(
         arrivals(events, eligible)
         .groupBy("event_id")
         .agg(F.count("*").alias("_n"), F.min(F.struct("at_us", "seq")).alias("_first"))
         .filter(F.col("_n") > 1)
-        .select(F.col("event_id").alias("_id"), F.col("_first.seq").alias("_first_seq"))
+        .select(F.col("event_id").alias("_key"), "_n", F.col("_first.seq").alias("_first_seq"))
     )
-    joined = events.withColumn("_key", _join_key(eligible)).join(repeated, F.col("_key") == F.col("_id"), "left")
+    joined = attach(events.withColumn("_key", _join_key(eligible)), repeated, "_key", "_n")
     duplicate = F.col("_first_seq").isNotNull() & (F.col("seq") != F.col("_first_seq"))
-    return joined.withColumn("is_duplicate", duplicate).drop("_key", "_id", "_first_seq")
+    return joined.withColumn("is_duplicate", duplicate).drop("_key", "_first_seq")
 
 
 def duplicate_keys(narrow: DataFrame, policy: DedupPolicy) -> DataFrame:

@@ -20,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.operators.attach import attach
 from siftlake.operators.ordering import with_position
 from siftlake.session import checkpointed
 
@@ -120,14 +121,16 @@ def ttl_duplicates(narrow: DataFrame, ttl_us: int, fold_limit: int | None = None
     )
     firsts = per_id.select("event_id", F.col("_first.at_us").alias("at_us"), F.col("_first.seq").alias("seq"))
     chained = per_id.filter(F.col("last_us") - F.col("first_us") >= _long(ttl_us))
-    short = chained.filter(F.col("points") <= fold_limit)
-    long = chained.filter(F.col("points") > fold_limit)
-
-    points = instants.select("event_id", "at_us", "seq")
-    accepted = firsts.unionByName(_fold(points.join(short.select("event_id"), "event_id", "left_semi"), ttl_us))
-    if not long.isEmpty():
-        long_points = points.join(long.select("event_id"), "event_id", "left_semi")
-        accepted = accepted.unionByName(_chain(long_points, long, ttl_us))
-
-    repeated = narrow.join(per_id.select("event_id"), "event_id", "left_semi")
+    is_long = F.col("points") > fold_limit
+
+    facts = chained.select("event_id", "points", is_long.alias("_long"))
+    points = attach(instants.select("event_id", "at_us", "seq"), facts, "event_id", "points")
+    short_points = points.filter("NOT _long").drop("_long")
+    accepted = firsts.unionByName(_fold(short_points, ttl_us))
+    long_ids = chained.filter(is_long)
+    if not long_ids.isEmpty():
+        accepted = accepted.unionByName(_chain(points.filter("_long").drop("_long"), long_ids, ttl_us))
+
+    marked = attach(narrow, per_id.select("event_id", "rows", F.lit(True).alias("_repeated")), "event_id", "rows")
+    repeated = marked.filter("_repeated")
     return repeated.select("event_id", "seq").join(accepted.select("seq"), "seq", "left_anti")
