@@ -358,7 +358,15 @@ def _stream(spark: SparkSession, sf_dir: str, policy: DedupPolicy) -> str:
     schema = spark.read.parquet(path).schema
     raw = raw_from_events(spark.readStream.schema(schema).parquet(f"{path}*"))
     base = scratch_path(spark, "stream")
-    start_refine(raw, base, f"{base}/progress", AS_OF, policy, available_now=True).awaitTermination()
+    # A stream keeps one state store per shuffle partition; on one machine more
+    # stores than cores only cost time.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.sql.shuffle.partitions", min(int(partitions), spark.sparkContext.defaultParallelism))
+    try:
+        start_refine(raw, base, f"{base}/progress", AS_OF, policy, available_now=True).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return base
 
 

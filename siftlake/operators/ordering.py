@@ -11,18 +11,17 @@ from siftlake.session import checkpointed
 _ROW_BITS = 33
 
 
-def with_position(df: DataFrame, order: list[Column | str], partitions: int | None = None) -> tuple[DataFrame, int]:
+def with_position(df: DataFrame, order: list[Column | str]) -> tuple[DataFrame, int]:
     """Add ``position`` (0-based, dense, in ``order``) and return it with the row count.
 
     Rows are range-partitioned and sorted, so ties on a leading key spread over
     tasks as long as ``order`` ends in a unique column. The sorted rows are
     written to the shared folder once; the only other data are one count per
-    partition, which bounds the broadcast below by the number of partitions.
+    partition, which bounds the broadcast below by the number of partitions
+    (``spark.sql.shuffle.partitions``, fewer after adaptive coalescing).
     """
-    spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(key) if isinstance(key, str) else key for key in order]
-    ordered = df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     numbered = checkpointed(ordered.withColumn("_row", F.monotonically_increasing_id()))
     part = F.shiftright("_row", _ROW_BITS)
     sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))

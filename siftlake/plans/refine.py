@@ -12,7 +12,7 @@ from siftlake.operators.dedup import DedupPolicy, mark_duplicates
 from siftlake.operators.normalize import Mapping, normalize
 from siftlake.operators.validate import error_reason, validate
 from siftlake.schema import CANONICAL_COLUMNS
-from siftlake.session import scratch_path
+from siftlake.session import remove_path, scratch_path
 
 PROCESSED, DUPLICATE, VALIDATION, UNHANDLED = "processed", "duplicate", "validation", "unhandled_error"
 OUTCOMES = (PROCESSED, DUPLICATE, VALIDATION, UNHANDLED)
@@ -60,6 +60,7 @@ class RefineResult:
 
     classified: DataFrame
     as_of: object = None
+    stage_path: str | None = None
 
     @property
     def valid(self) -> DataFrame:
@@ -78,6 +79,11 @@ class RefineResult:
         """Events per source and outcome; every counter is a sum over it."""
         return self.classified.groupBy("source", "outcome").agg(F.count("*").alias("n"))
 
+    def discard(self) -> None:
+        """Remove the stage once all outputs are written."""
+        if self.stage_path is not None:
+            remove_path(self.classified.sparkSession, self.stage_path)
+
 
 def dlq_records(classified: DataFrame, as_of: object = None) -> DataFrame:
     """Rejected events with their payload as it came, before any mapping."""
@@ -90,9 +96,8 @@ def dlq_records(classified: DataFrame, as_of: object = None) -> DataFrame:
     )
 
 
-def staged(df: DataFrame, path: str | None = None) -> DataFrame:
-    """``df`` written once as Parquet (by default to the shared folder) and read from there."""
-    path = path or scratch_path(df.sparkSession, "stage")
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once as Parquet and read from there."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -114,12 +119,15 @@ def refine(
     Dedup looks at the events twice: at three columns to decide, and at all of
     them to mark. Parsing costs far more than writing and reading, so the
     evaluated events are staged once, and the first look reads only its columns.
-    ``stage=False`` parses twice and writes nothing.
+    ``stage=False`` parses twice and writes nothing. The stage goes to
+    ``stage_path``, by default under the shared folder.
     """
     policy = DedupPolicy(policy) if isinstance(policy, str) else policy
     evaluated = evaluate(raw, as_of, mappers)
+    path = None
     if stage and policy.kind != "off":
-        evaluated = staged(evaluated, stage_path)
+        path = stage_path or scratch_path(raw.sparkSession, "stage")
+        evaluated = staged(evaluated, path)
     marked = mark_duplicates(evaluated, policy, eligible=F.col("verdict").isNull())
     classified = marked.withColumn("outcome", outcome_column()).drop("verdict", "is_duplicate")
-    return RefineResult(classified, as_of)
+    return RefineResult(classified, as_of, path)

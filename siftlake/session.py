@@ -41,6 +41,8 @@ def build_session(app_name: str = "siftlake", master: str | None = None, **setti
         "spark.ui.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.python.unix.domain.socket.enabled": "true",
+        # Recording the Python call site of every expression doubles the time to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **RUNTIME_SETTINGS,
         **STREAM_SETTINGS,
         **{key.replace("__", "."): value for key, value in settings.items()},
@@ -77,3 +79,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder, its lineage cut."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siftlake import refine
 from siftlake.catalog.fixture import AS_OF, raw_events
 from siftlake.operators.dedup import DedupPolicy
+from siftlake.operators.metrics import FLUSH_BOUNDS, quantiles
 from siftlake.operators.rates import rates, stream_rates
 from siftlake.sources.landing import accept_envelopes, read_landing_stream
 from siftlake.sources.refined import read_dlq, read_refined
@@ -61,7 +62,10 @@ def test_restarted_stream_equals_batch(spark, tmp_path):
     assert read_dlq(spark, f"{base}/dlq").count() == sum(o in ("validation", "unhandled_error") for o in want.values())
     counts = spark.read.parquet(f"{base}/counts").agg(F.sum("n")).first()[0]
     assert counts == len(want)
-    assert flush_seconds(query).filter("seconds > 0").count() >= 1
+    flushes = flush_seconds(query)
+    assert flushes.filter("seconds > 0").count() >= 1
+    p95 = quantiles(flushes, F.col("seconds"), FLUSH_BOUNDS, qs={"p95": 0.95}).first().p95
+    assert 0 < p95 <= FLUSH_BOUNDS[-1]
 
 
 def test_file_order_inside_a_batch_does_not_matter(spark, tmp_path):
