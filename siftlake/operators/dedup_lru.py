@@ -15,10 +15,12 @@ is then independent of the others.
 
 from __future__ import annotations
 
+import sys
 from collections import OrderedDict
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ from siftlake.session import checkpointed
 
 _MIN_CHUNK_ROWS = 250_000
 
+# The replay travels as code, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _hits(ids: list[str], capacity: int) -> np.ndarray:
     """Which accesses hit a least-recently-used memory that starts empty."""
