@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.plan import fence
 
-BUCKETS, SMOOTHING, THRESHOLD = 1 << 16, 1.0, -0.25
+BUCKETS, SMOOTHING, THRESHOLD = 1 << 16, 1.0, -0.4
 #: Trusted ids that are sent to every executor, 16 MB or so; above it the documents are shuffled to them.
 TRUSTED_ROWS = 1_000_000
 BLANK = " \t\n\x0b\x0c\r"
