@@ -93,9 +93,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int = P
     sizes = vectors.agg(F.count("*"), F.max(square), F.max(F.size("embedding"))).first()
     n_queries, longest, width = queries.count(), sizes[1] or 0.0, sizes[2] or 0
     sample = vectors.filter(F.size("embedding") == width).orderBy(F.xxhash64("vec_id"), "vec_id").limit(2 * pivots).select("embedding").collect()
-    chosen = np.array(list(dict.fromkeys(tuple(row[0]) for row in sample))[:pivots]).reshape(-1, width)
+    distinct = list(dict.fromkeys(tuple(row[0]) for row in sample))[:pivots]
+    chosen = np.array(distinct, np.float64).reshape(len(distinct), width)
     chosen = np.column_stack([chosen, np.sqrt(np.maximum(0, longest - (chosen ** 2).sum(axis=1)))])
-    pivots = len(chosen)
+    pivots = max(1, len(chosen))
     spark = vectors.sparkSession
     shared = spark.sparkContext.broadcast(chosen)  # at most `pivots` rows
     blocks, query_blocks = max(1, -(-sizes[0] // block)), max(1, -(-n_queries // query_block))

@@ -158,8 +158,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
     rows = classes(documents)
     first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("kept"))
     first = first.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_hash")).distinct()
-    own = documents.withColumn("_kept_id", F.col("doc_id").cast("long")).withColumn("_kept_hash", F.xxhash64(F.col("text").cast("string")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    own = documents.select(whole.alias("_row"), F.col("doc_id").cast("long").alias("_kept_id"), F.xxhash64(F.col("text").cast("string")).alias("_kept_hash"))
     on = own["_kept_id"].eqNullSafe(first["_kept_id"]) & (own["_kept_hash"] == first["_kept_hash"])
-    met = own.join(first, on, "left_semi")
     place = F.row_number().over(Window.partitionBy("_kept_id", "_kept_hash").orderBy("_kept_id"))
-    return met.withColumn("_place", place).filter("_place = 1").select(*[F.col(f"`{c}`") for c in documents.columns])
+    return own.join(first, on, "left_semi").withColumn("_place", place).filter("_place = 1").select("_row.*")
