@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
+#: By number of ids, what packs them as little-endian unsigned 32-bit integers.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 class CachedEncoder:
@@ -53,8 +56,9 @@ class CachedEncoder:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            letters = piece.encode().decode("latin-1").translate(_LETTERS)
-            ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+            letters = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(_LETTERS)
+            tokens = self.model.tokenize(letters)
+            ids = _PACK[len(tokens)](*[t.id for t in tokens]) if len(tokens) < len(_PACK) else np.array([t.id for t in tokens], "<u4").tobytes()
             if len(self.pieces) >= PIECES:
                 self.pieces.clear()
             self.pieces[piece] = ids
@@ -64,6 +68,8 @@ class CachedEncoder:
         """Ids of a chunk, None where the cut before or after it is not safe."""
         if self.blank and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
             return None
+        if chunk.isascii() and chunk.isalpha():
+            return self._piece(before + chunk if self.blank else chunk.lower())
         found = _PIECES.findall(chunk)
         if sum(map(len, found)) != len(chunk) or "\n\n" in chunk:
             return self.whole(before + chunk)
