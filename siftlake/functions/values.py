@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 _EMPTY_FORMS = ["null", '""', "false", "[]", "{}", "0", "0.0", "-0.0"]
 
 
+def after_blanks(text: Column) -> Column:
+    """JSON text from its first character that is no white space."""
+    return F.ltrim(text, F.lit(" \t\n\r"))
+
+
 def field(document: Column, name: str) -> Column:
     """One top-level field of a variant, as a variant."""
     return F.variant_get(document, "$['" + name.replace("'", "\\'") + "']", "variant")

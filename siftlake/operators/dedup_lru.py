@@ -16,7 +16,6 @@ is then independent of the others.
 from __future__ import annotations
 
 import sys
-from collections import OrderedDict
 
 import numpy as np
 import pandas as pd
@@ -34,18 +33,27 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _hits(ids: list[str], capacity: int) -> np.ndarray:
-    """Which accesses hit a least-recently-used memory that starts empty."""
-    memory: OrderedDict[str, None] = OrderedDict()
-    hits = np.zeros(len(ids), dtype=bool)
-    for i, key in enumerate(ids):
-        if key in memory:
-            memory.move_to_end(key)
-            hits[i] = True
-        else:
-            memory[key] = None
-            if len(memory) > capacity:
-                memory.popitem(last=False)
-    return hits
+    """Which accesses hit a least-recently-used memory that starts empty.
+
+    An id is remembered iff fewer than ``capacity`` distinct ids were used since
+    its own last use, that is, iff that use lies at or behind a mark such that
+    ``capacity`` last uses lie from it on. The mark only moves forward.
+    """
+    codes = pd.factorize(np.asarray(ids, dtype=object))[0]
+    order = np.argsort(codes, kind="stable")
+    again = codes[order][1:] == codes[order][:-1]
+    previous, following = np.full(len(codes), -1), np.full(len(codes), len(codes))
+    previous[order[1:][again]] = order[:-1][again]
+    following[order[:-1][again]] = order[1:][again]
+    before, after, marks = previous.tolist(), following.tolist(), []
+    mark = live = 0
+    for i in range(len(codes)):
+        marks.append(mark)
+        live += before[i] < mark  # else the id's last use only moves
+        while live > capacity:
+            live -= after[mark] > i
+            mark += 1
+    return (previous >= 0) & (previous >= np.array(marks, dtype=np.int64))
 
 
 def _most_recent(last_use: DataFrame, capacity: int) -> DataFrame:

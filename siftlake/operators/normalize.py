@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.plan import fence, step
 from siftlake.functions.timestamps import as_instant, parse_event_time
-from siftlake.functions.values import field_json, first_truthy
+from siftlake.functions.values import after_blanks, field_json, first_truthy
 
 CANONICAL_VERSION = 1
 
@@ -153,7 +153,7 @@ def normalize(
     def may_be_empty(mapping: Mapping) -> Column:
         return F.lit(isinstance(mapping, ColumnMapping) or mapping.payload_fields is None)
 
-    is_document = F.coalesce(F.ltrim("raw_payload").startswith("{") & document.isNotNull(), F.lit(False))
+    is_document = F.coalesce(after_blanks(F.col("raw_payload")).startswith("{") & document.isNotNull(), F.lit(False))
     return df.select(
         "event_id",
         "source",

@@ -13,7 +13,7 @@ from siftlake.functions.timestamps import MICROS, as_instant, iso_text
 from siftlake.functions.values import is_empty_object
 
 # Fixed pattern: a UUID of any version, each hyphen optional.
-UUID_PATTERN = r"(?i)^[0-9a-f]{8}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{12}$"
+UUID_PATTERN = r"(?i)^[0-9a-f]{8}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{12}\n?\z"
 # Fixed value: tolerated clock skew.
 FUTURE_TOLERANCE_SECONDS = 300
 

@@ -54,6 +54,10 @@ def outcome_column() -> Column:
     )
 
 
+def _with_outcome(marked: DataFrame) -> DataFrame:
+    return marked.withColumn("outcome", outcome_column()).drop("verdict", "is_duplicate")
+
+
 @dataclass(frozen=True)
 class RefineResult:
     """``classified`` holds every input event once, with its ``outcome``."""
@@ -61,6 +65,7 @@ class RefineResult:
     classified: DataFrame
     as_of: object = None
     stage_path: str | None = None
+    rejected: DataFrame | None = None
 
     @property
     def valid(self) -> DataFrame:
@@ -72,7 +77,7 @@ class RefineResult:
 
     @property
     def dlq(self) -> DataFrame:
-        return dlq_records(self.classified, self.as_of)
+        return dlq_records(self.classified if self.rejected is None else self.rejected, self.as_of)
 
     @property
     def metrics(self) -> DataFrame:
@@ -128,6 +133,10 @@ def refine(
     if stage and policy.kind != "off":
         path = stage_path or scratch_path(raw.sparkSession, "stage")
         evaluated = staged(evaluated, path)
-    marked = mark_duplicates(evaluated, policy, eligible=F.col("verdict").isNull())
-    classified = marked.withColumn("outcome", outcome_column()).drop("verdict", "is_duplicate")
-    return RefineResult(classified, as_of, path)
+    if path is None:
+        marked = mark_duplicates(evaluated, policy, eligible=F.col("verdict").isNull())
+        return RefineResult(_with_outcome(marked), as_of, path)
+    # Rejected events need no decision: they go around the dedup join.
+    rejected = _with_outcome(evaluated.filter(F.col("verdict").isNotNull()).withColumn("is_duplicate", F.lit(False)))
+    open_events = _with_outcome(mark_duplicates(evaluated.filter(F.col("verdict").isNull()), policy))
+    return RefineResult(open_events.unionByName(rejected), as_of, path, rejected)

@@ -36,10 +36,13 @@ def insert_if_absent(events: DataFrame, table: str) -> None:
     replayed micro-batch is harmless.
     """
     spark = events.sparkSession
-    order = "seq" if "seq" in events.columns else None
-    if order is None:
-        events = events.withColumn("seq", F.xxhash64(*CANONICAL_COLUMNS))
-    candidates = drop_duplicates(events.select(*[_required(c) for c in CANONICAL_COLUMNS], "seq"))
+    required = [_required(c) for c in CANONICAL_COLUMNS]
+    if "seq" in events.columns:
+        candidates = drop_duplicates(events.select(*required, "seq"))
+    else:
+        # No order to go by: the least row of an id, so that equal rows count once.
+        rest = F.struct(*[c for c in CANONICAL_COLUMNS if c != "event_id"])
+        candidates = events.select(*required).groupBy("event_id").agg(F.min(rest).alias("_row")).select("event_id", "_row.*")
     stored = spark.table(table).select("event_id")
     # The incoming side is the small one; only ids it hits come out of the stored side.
     hits = stored.join(candidates.select("event_id").hint("shuffle_hash"), "event_id", "left_semi")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.plan import fence, step
 from siftlake.functions.timestamps import as_instant
-from siftlake.functions.values import field_json, is_string, is_truthy, string_content
+from siftlake.functions.values import after_blanks, field_json, is_string, is_truthy, string_content
 
 DEFAULT_TOPICS = ("orders", "clicks")
 MALFORMED_REASON = "malformed message"
@@ -46,8 +46,13 @@ def read_kafka(spark: SparkSession, servers: str, streaming: bool = True, **kwar
 
 
 def message_seq(topics: tuple[str, ...]) -> Column:
-    """A unique number per message, the same on every replay."""
+    """A unique number per message, the same on every replay; a topic outside the list fails the read."""
+    if len(topics) >= 1 << _TOPIC_BITS:
+        raise ValueError("too many topics for a message number")
     place = F.array_position(F.lit(list(topics)), F.col("topic"))
+    known = (place > 0) & F.col("partition").between(0, (1 << _PARTITION_BITS) - 1)
+    outside = F.raise_error(F.concat(F.lit("no message number for topic "), F.coalesce("topic", F.lit("null")), F.lit(", partition "), F.col("partition").cast("string")))
+    place = F.when(known, place).otherwise(outside.cast("bigint"))
     tail = F.shiftleft(F.col("partition").cast("bigint"), _TOPIC_BITS) + place
     return F.shiftleft(F.col("offset"), _TOPIC_BITS + _PARTITION_BITS) + tail
 
@@ -83,7 +88,7 @@ def kafka_to_raw(
         df,
         _id=field_json(F.col("_doc"), "event_id"),
         _is_json=F.col("_doc").isNotNull(),
-        _is_object=F.col("_doc").isNotNull() & F.ltrim("_text").startswith("{"),
+        _is_object=F.col("_doc").isNotNull() & after_blanks(F.col("_text")).startswith("{"),
     ).drop("_doc")
     own = F.col("_is_object") & is_truthy(F.col("_id"))
     df = df.select(

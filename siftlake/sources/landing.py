@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.functions.plan import fence, step
-from siftlake.functions.values import field_json, is_object, is_string, string_content
+from siftlake.functions.values import after_blanks, field_json, is_object, is_string, string_content
 from siftlake.session import scratch_path
 from siftlake.sources.kafka import stable_uuid
 
@@ -62,7 +62,7 @@ def _checked(envelopes: DataFrame, text: str) -> DataFrame:
 
     reason = (
         F.when(~F.col("_parsed"), "body is not valid JSON")
-        .when(~F.ltrim(body).startswith("{"), "body is not an object")
+        .when(~after_blanks(body).startswith("{"), "body is not an object")
         .when(~text_or_null("event_id"), "event_id is not a string")
         .when(~text_or_null("source"), "source is not a string")
         .when(~text_or_null("timestamp"), "timestamp is not a string")

@@ -68,10 +68,11 @@ def start_refine(
     available_now: bool = False,
     trigger: str = DEFAULT_TRIGGER,
     max_records_per_file: int = 0,
+    max_lag_seconds: int = DEFAULT_MAX_LAG_SECONDS,
 ) -> StreamingQuery:
     """Run the pipeline into ``base``. A failed batch is replayed from ``checkpoint``."""
     writer = (
-        classify_stream(raw, as_of, policy, mappers)
+        classify_stream(raw, as_of, policy, mappers, max_lag_seconds)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(batch_writer(base, as_of, max_records_per_file))

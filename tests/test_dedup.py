@@ -1,5 +1,4 @@
 import random
-from collections import OrderedDict
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,16 +36,13 @@ def brute_first(trace):
 
 
 def brute_lru(trace, capacity):
-    memory, out = OrderedDict(), set()
-    for i in arrival(trace):
-        key = trace[i][0]
-        if key in memory:
-            memory.move_to_end(key)
+    """By reuse distance: fewer than ``capacity`` other ids since the last use."""
+    order, out = arrival(trace), set()
+    keys = [trace[i][0] for i in order]
+    for n, i in enumerate(order):
+        earlier = [m for m in range(n) if keys[m] == keys[n]]
+        if earlier and len(set(keys[earlier[-1] + 1:n])) < capacity:
             out.add(i)
-        else:
-            memory[key] = True
-            if len(memory) > capacity:
-                memory.popitem(last=False)
     return out
 
 

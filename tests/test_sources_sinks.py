@@ -190,3 +190,27 @@ def test_spread_leaves_wide_scans_alone(spark):
     wide = spark.range(0, 100, numPartitions=50)
     assert spread(wide) is wide
     assert spread(spark.range(0, 100, numPartitions=1)).rdd.getNumPartitions() == 4
+
+
+def test_blanks_before_a_json_object(spark):
+    got = kafka_to_raw(messages(spark, ['\n{"event_id":"y"}', '\t {"event_id":"z"}'])).orderBy("seq").collect()
+    assert [(r.event_id, r.is_object) for r in got] == [("y", True), ("z", True)]
+
+
+def test_a_topic_outside_the_list_is_refused(spark):
+    with pytest.raises(Exception, match="no message number for topic beta"):
+        kafka_to_raw(messages(spark, ["{}"], "beta")).collect()
+
+
+def test_equal_rows_without_order_are_stored_once(spark):
+    create_table(spark, "equal_rows", scratch_path(spark, "equal"), buckets=4)
+    row = spark.sql("SELECT 'a' AS event_id, 's' AS source, current_timestamp() AS ingest_timestamp, current_timestamp() AS event_timestamp, '{}' AS payload, 1 AS version")
+    insert_if_absent(row.unionByName(row), "equal_rows")
+    assert spark.table("equal_rows").count() == 1
+    spark.sql("DROP TABLE equal_rows")
+
+
+def test_rejected_events_skip_the_dedup_join(raw):
+    result = refine(raw([("bad", "s", "{}"), ("bad", "s", "{}")]), NOW)
+    assert "Join" not in result.dlq._jdf.queryExecution().executedPlan().toString() and result.dlq.count() == 2
+    result.discard()

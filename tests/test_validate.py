@@ -71,3 +71,11 @@ def test_blank_matches_strip(spark):
     texts = [*spaces, "", "a", " a ", "​", ".", "\x00"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     assert [r[0] for r in df.orderBy("i").select(is_blank(F.col("t"))).collect()] == [not t.strip() for t in texts]
+
+
+@pytest.mark.parametrize("end, fine", [("", True), ("\n", True), ("\r", False), ("\r\n", False), ("\u0085", False), ("\u2028", False)])
+def test_line_ends_after_an_id(spark, end, fine):
+    from siftlake.operators.validate import UUID_PATTERN
+
+    df = spark.createDataFrame([("0123abcd-0123-abcd-0123-0123456789ab" + end,)], "event_id string")
+    assert df.select(df.event_id.rlike(UUID_PATTERN)).first()[0] is fine
