@@ -11,6 +11,9 @@ sys.path.insert(0, str(ROOT / "tools"))
 import __spark_entry__ as spark_entry  # noqa: E402
 from check import rows  # noqa: E402
 
+from siftlake.catalog.oracles import all_oracles  # noqa: E402
+from siftlake.catalog.queries import all_queries  # noqa: E402
+
 SAMPLE = [
     "flagship_outcomes", "normalize_all", "validate_reasons", "kafka_to_raw", "envelope_accept", "dedup_ttl_400",
     "dlq_page", "batch_members", "sink_parquet_roundtrip", "histogram_lag", "quantiles_lag", "rate_failed", "load_report",
@@ -18,7 +21,9 @@ SAMPLE = [
 
 
 def test_every_query_has_its_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(spark_entry.queries())
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
 @pytest.mark.parametrize("name", SAMPLE)
