@@ -9,8 +9,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field as dataclass_field
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from siftlake.functions.timestamps import as_instant, parse_event_time
 from siftlake.functions.values import after_blanks, field_json, first_truthy
 
 CANONICAL_VERSION = 1
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 @dataclass(frozen=True)
@@ -50,16 +53,52 @@ class ColumnMapping:
     """A mapping written as Columns over the parsed payload.
 
     ``event_time(document)`` gives a TIMESTAMP (NULL means processing time) and
-    ``payload(document)`` the cleaned payload as JSON text. Both stay inside
-    Catalyst; an opaque Python mapping can return a pandas UDF call.
+    ``payload(document)`` the cleaned payload as JSON text. Where
+    ``error(document)`` is true neither is evaluated, and the event becomes an
+    unhandled error; so does one whose payload comes out NULL. All stay inside
+    Catalyst, so write them with the ``try_`` functions: a cast that fails ends
+    the job. ``python_mapping`` makes one of an opaque Python function.
     """
 
     event_time: Callable[[Column], Column]
     payload: Callable[[Column], Column]
+    error: Callable[[Column], Column] | None = None
+
+    def failed(self, document: Column) -> Column:
+        return F.lit(False) if self.error is None else F.coalesce(self.error(document), F.lit(False))
+
+
+def python_mapping(function: Callable[[dict], tuple[datetime | None, dict]]) -> ColumnMapping:
+    """A mapping by a Python function from the parsed payload to event time and cleaned payload.
+
+    Runs in Arrow batches. An event for which it raises, or gives no JSON object
+    or a time without zone, becomes an unhandled error; the others go on.
+    """
+
+    @F.pandas_udf("event_us bigint, payload string, error boolean")
+    def mapped(documents: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in documents:
+            try:
+                at, payload = function(json.loads(text))
+                micros = None if at is None else (at - _EPOCH) // timedelta(microseconds=1)
+                if not isinstance(payload, dict):
+                    raise TypeError("a mapped payload must be a dict")
+                rows.append((micros, json.dumps(payload, ensure_ascii=False), False))
+            except Exception:  # whatever an opaque function raises concerns its own event only
+                rows.append((None, None, True))
+        frame = pd.DataFrame(rows, columns=["event_us", "payload", "error"])
+        return frame.astype({"event_us": "Int64", "error": "bool"})
+
+    def part(name: str) -> Callable[[Column], Column]:
+        return lambda document: mapped(F.to_json(document))[name]
+
+    return ColumnMapping(lambda document: F.timestamp_micros(part("event_us")(document)), part("payload"), part("error"))
 
 
 Mapping = FieldMapping | ColumnMapping
 
+# The fields of the two known sources, and the time fields of all others.
 ORDERS = FieldMapping(
     time_fields=("created_at", "timestamp"),
     payload_fields=("order_id", "amount", "currency", "customer_id"),
@@ -102,19 +141,22 @@ def normalize(
 
     Beyond the canonical columns: ``seq``, ``raw_payload``, ``ts_fallback`` (no
     usable timestamp, processing time taken), ``parse_error`` (an epoch number
-    outside the calendar, or a payload that is no JSON object),
+    outside the calendar, a payload that is no JSON object, or a custom mapping
+    that failed),
     ``event_offset_us`` and ``may_be_empty`` (the mapping can yield an empty
-    payload).
+    payload). ``malformed`` is handed on where the input has it.
     """
     mappers = BUILT_IN if mappers is None else mappers
     used = [*mappers.values(), GENERIC]
     document = F.col("_doc")
+    handed_on = [name for name in ("malformed",) if name in raw.columns]
     df = raw.select(
         "seq",
         "event_id",
         "source",
         F.col("received_at").cast("timestamp").alias("ingest_timestamp"),
         F.col("payload").alias("raw_payload"),
+        *handed_on,
     )
     df = step(df, _doc=F.try_parse_json(F.col("raw_payload")))
     names = _time_fields(used)
@@ -128,12 +170,12 @@ def normalize(
 
     def custom_time(mapping: Mapping) -> Column:
         if isinstance(mapping, ColumnMapping):
-            return F.unix_micros(mapping.event_time(document))
+            return F.when(~mapping.failed(document), F.unix_micros(mapping.event_time(document)))
         return F.lit(None).cast("bigint")
 
     custom = any(isinstance(mapping, ColumnMapping) for mapping in used)
     df = df.select(
-        "seq", "event_id", "source", "ingest_timestamp", "raw_payload",
+        "seq", "event_id", "source", "ingest_timestamp", "raw_payload", *handed_on,
         document.alias("doc"),
         _per_source(mappers, time_json).alias("time_json"),
         (_per_source(mappers, custom_time) if custom else F.lit(None).cast("bigint")).alias("custom_us"),
@@ -147,13 +189,19 @@ def normalize(
 
     def cleaned(mapping: Mapping) -> Column:
         if isinstance(mapping, ColumnMapping):
-            return mapping.payload(document)
+            return F.when(~mapping.failed(document), mapping.payload(document))
         return mapping.payload(document, F.col("raw_payload"))
 
+    def unmapped(mapping: Mapping) -> Column:
+        return cleaned(mapping).isNull() if isinstance(mapping, ColumnMapping) else F.lit(False)
+
     def may_be_empty(mapping: Mapping) -> Column:
         return F.lit(isinstance(mapping, ColumnMapping) or mapping.payload_fields is None)
 
     is_document = F.coalesce(after_blanks(F.col("raw_payload")).startswith("{") & document.isNotNull(), F.lit(False))
+    failed = F.col("parse_error") | ~is_document
+    if custom:
+        failed = failed | _per_source(mappers, unmapped)
     return df.select(
         "event_id",
         "source",
@@ -164,9 +212,10 @@ def normalize(
         "seq",
         "raw_payload",
         (event_us.isNull() & ~F.col("parse_error")).alias("ts_fallback"),
-        (F.col("parse_error") | ~is_document).alias("parse_error"),
+        failed.alias("parse_error"),
         F.when(event_us.isNull() | F.col("custom_us").isNotNull(), F.lit(0).cast("bigint"))
         .otherwise(F.col("event_offset_us"))
         .alias("event_offset_us"),
         _per_source(mappers, may_be_empty).alias("may_be_empty"),
+        *handed_on,
     )

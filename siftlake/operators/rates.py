@@ -7,8 +7,11 @@ step counts and not the events.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from siftlake.operators.metrics import bucket_counts, bucket_names, histogram_quantile
 
@@ -46,18 +49,43 @@ def rates(
     )
 
 
+def slot_writer(path: str, at: str, by: list[str] | None = None, step: int = STEP_SECONDS) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: add the counts per slot of one micro-batch to the table at ``path``.
+
+    Writing a batch again replaces it. No watermark: an event however late adds
+    to the slot of its own time, and the windows read from the table correct
+    themselves.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        slots = batch.groupBy(*(by or []), _slot(F.col(at), step * MICROS)).agg(F.count("*").alias("_n"))
+        slots.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    return write
+
+
 def stream_rates(
-    events: DataFrame, at: str, by: list[str] | None = None, delay: str = "1 minute",
-    width: int = WIDTH_SECONDS, step: int = STEP_SECONDS,
+    events: DataFrame, at: str, path: str, checkpoint: str, by: list[str] | None = None,
+    step: int = STEP_SECONDS, available_now: bool = False, trigger: str = "10 seconds",
+) -> StreamingQuery:
+    """Keep the slot counts of a stream at ``path``; ``read_rates`` gives the windows."""
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(slot_writer(path, at, by, step))
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=trigger).start()
+
+
+def read_rates(
+    spark: SparkSession, path: str, by: list[str] | None = None, width: int = WIDTH_SECONDS, step: int = STEP_SECONDS,
 ) -> DataFrame:
-    """The same rates over a stream, closed by the watermark on ``at``."""
-    windowed = events.withWatermark(at, delay).groupBy(
-        F.window(at, f"{width} seconds", f"{step} seconds"), *(by or [])
-    )
-    return windowed.agg(F.count("*").alias("_n")).select(
-        F.unix_micros("window.end").alias("window_end_us"),
-        *(by or []),
-        (F.col("_n") / F.lit(float(width))).alias("per_second"),
+    """The same rates from the slot counts of all micro-batches so far; ``step`` as they were written."""
+    if width % step:
+        raise ValueError("width must be a multiple of step")
+    by = by or []
+    slots = spark.read.parquet(path).groupBy(*by, "_slot").agg(F.sum("_n").alias("_n"))
+    return (
+        _spread(slots, width, step)
+        .groupBy("window_end_us", *by)
+        .agg((F.sum("_n") / F.lit(float(width))).alias("per_second"))
     )
 
 

@@ -13,9 +13,12 @@ from siftlake.operators.normalize import Mapping, normalize
 from siftlake.operators.validate import error_reason, validate
 from siftlake.schema import CANONICAL_COLUMNS
 from siftlake.session import remove_path, scratch_path
+from siftlake.sources.kafka import MALFORMED_REASON
 
 PROCESSED, DUPLICATE, VALIDATION, UNHANDLED = "processed", "duplicate", "validation", "unhandled_error"
-OUTCOMES = (PROCESSED, DUPLICATE, VALIDATION, UNHANDLED)
+MALFORMED = "malformed"
+OUTCOMES = (PROCESSED, DUPLICATE, VALIDATION, UNHANDLED, MALFORMED)
+REJECTED = (VALIDATION, UNHANDLED, MALFORMED)
 UNHANDLED_REASON = "unhandled processing error"
 
 
@@ -25,18 +28,23 @@ def evaluate(
     """Normalize and validate; ``verdict`` is the outcome before dedup (NULL: still open).
 
     Every event carries one payload: the cleaned one, or for a rejected event
-    ``raw_payload``, as it came.
+    ``raw_payload``, as it came. Events the source marks as ``malformed`` are
+    rejected unseen; one without a usable id gets an empty one.
     """
     checked = validate(normalize(raw, as_of, mappers), as_of)
+    malformed = F.col("malformed") if "malformed" in checked.columns else F.lit(False)
     verdict = (
-        F.when(F.col("parse_error"), F.lit(UNHANDLED)).when(~F.col("is_valid"), F.lit(VALIDATION))
+        F.when(malformed, F.lit(MALFORMED)).when(F.col("parse_error"), F.lit(UNHANDLED))
+        .when(~F.col("is_valid"), F.lit(VALIDATION))
     )
     reason = (
-        F.when(F.col("parse_error"), F.lit(UNHANDLED_REASON))
+        F.when(malformed, F.lit(MALFORMED_REASON)).when(F.col("parse_error"), F.lit(UNHANDLED_REASON))
         .when(~F.col("is_valid"), error_reason(F.col("violations")))
     )
     rejected = F.col("verdict").isNotNull()
     columns = {name: F.col(name) for name in CANONICAL_COLUMNS}
+    if "malformed" in checked.columns:
+        columns["event_id"] = F.when(malformed, F.coalesce("event_id", F.lit(""))).otherwise(F.col("event_id")).alias("event_id")
     columns["payload"] = F.when(~rejected, F.col("payload")).alias("payload")
     return checked.withColumn("verdict", verdict).select(
         *columns.values(), "seq", F.when(rejected, F.col("raw_payload")).alias("raw_payload"),
@@ -92,7 +100,7 @@ class RefineResult:
 
 def dlq_records(classified: DataFrame, as_of: object = None) -> DataFrame:
     """Rejected events with their payload as it came, before any mapping."""
-    rejected = classified.filter(F.col("outcome").isin(VALIDATION, UNHANDLED))
+    rejected = classified.filter(F.col("outcome").isin(*REJECTED))
     return rejected.select(
         "seq", "event_id", "source", "raw_payload", "error_reason",
         as_instant(as_of).alias("first_seen_at"),
@@ -102,8 +110,8 @@ def dlq_records(classified: DataFrame, as_of: object = None) -> DataFrame:
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written once as Parquet and read from there."""
-    df.write.mode("overwrite").parquet(path)
+    """``df`` written once as Parquet and read from there; a folder that exists is refused."""
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -119,13 +127,14 @@ def refine(
 
     ``as_of`` is the processing time: None for the current one, or an instant
     (ISO text with zone, or a Column) for repeatable runs. A rejected event
-    never registers its id.
+    never registers its id. ``raw`` may have ``malformed`` beside these columns,
+    as from ``kafka_to_raw`` and ``merge_sources``.
 
     Dedup looks at the events twice: at three columns to decide, and at all of
     them to mark. Parsing costs far more than writing and reading, so the
     evaluated events are staged once, and the first look reads only its columns.
     ``stage=False`` parses twice and writes nothing. The stage goes to
-    ``stage_path``, by default under the shared folder.
+    ``stage_path``, which must not exist yet; by default it is under the shared folder.
     """
     policy = DedupPolicy(policy) if isinstance(policy, str) else policy
     evaluated = evaluate(raw, as_of, mappers)

@@ -16,6 +16,9 @@ from siftlake.sources.kafka import stable_uuid
 
 DEFAULT_SOURCE = "webhook"
 
+# Bits of seq on a stream: the file above, its line below; two bits stay free for merging.
+_FILE_BITS, _LINE_BITS = 37, 24
+
 
 def read_landing(spark: SparkSession, path: str, staged_at: str | None = None) -> DataFrame:
     """All lines under ``path`` as ``seq, body, received_at``, read and numbered once.
@@ -35,17 +38,22 @@ def read_landing(spark: SparkSession, path: str, staged_at: str | None = None) -
 
 
 def read_landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1_000) -> DataFrame:
-    """New files under ``path`` as a stream of ``body, file, received_at``."""
-    return (
-        spark.readStream.format("text")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(path)
-        .select(
-            F.col("value").alias("body"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_modification_time").alias("received_at"),
-        )
+    """Lines of new files under ``path`` as a stream of ``seq, body, file, line, received_at``.
+
+    A line is known by its file and its place there, the same on every replay.
+    Streams cannot number rows, so a file is read as one value and must fit in
+    a task's memory. ``seq`` orders the lines of a file; made ids come from
+    ``file`` and ``line`` themselves.
+    """
+    files = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", max_files_per_trigger).load(path)
+    lines = files.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("received_at"),
+        F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line", "body"),
     )
+    place = F.pmod(F.xxhash64("file"), F.lit(1 << _FILE_BITS))
+    seq = F.shiftleft(place, _LINE_BITS) + F.col("line")
+    return lines.filter(F.trim("body") != "").select(seq.alias("seq"), "body", "file", "line", "received_at")
 
 
 def _checked(envelopes: DataFrame, text: str) -> DataFrame:
@@ -74,13 +82,20 @@ def _checked(envelopes: DataFrame, text: str) -> DataFrame:
 def accept_envelopes(
     envelopes: DataFrame, text: str = "body", default_source: str = DEFAULT_SOURCE
 ) -> DataFrame:
-    """Raw events of the acceptable envelopes in ``seq, <text>, received_at``."""
+    """Raw events of the acceptable envelopes in ``seq, <text>, received_at``.
+
+    A missing id is made of ``file`` and ``line`` where the input has them, else
+    of the number, the time and the text.
+    """
+    placed = {"file", "line"} <= set(envelopes.columns)
 
     def given(name: str) -> Column:
         value = string_content(F.col(f"_{name}"))
         return F.when(value != "", value)
 
-    new_id = stable_uuid(F.col("seq").cast("string"), F.unix_micros(F.col("received_at").cast("timestamp")).cast("string"), F.col(text))
+    at = F.unix_micros(F.col("received_at").cast("timestamp")).cast("string")
+    place = (F.col("file"), F.col("line").cast("string")) if placed else (F.col("seq").cast("string"), at, F.col(text))
+    new_id = stable_uuid(*place)
     return _checked(envelopes, text).filter(F.col("reason").isNull()).select(
         "seq",
         F.coalesce(given("event_id"), new_id).alias("event_id"),

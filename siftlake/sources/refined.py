@@ -1,4 +1,4 @@
-"""Reading tables: what the sinks wrote, and inputs in too few pieces."""
+"""Reading what the sinks wrote."""
 
 from __future__ import annotations
 
@@ -31,15 +31,3 @@ def read_dlq(spark: SparkSession, path: str) -> DataFrame:
         ]
     )
     return spark.read.schema(schema).json(path).withColumn("raw_payload", F.to_json("raw_payload"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its scan has fewer pieces than there are cores.
-
-    One small or unsplittable file would be parsed by one task. A scan with
-    enough pieces, as of any large table, is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

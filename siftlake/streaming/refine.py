@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,7 +13,7 @@ from siftlake.operators.dedup import DedupPolicy
 from siftlake.operators.normalize import Mapping
 from siftlake.plans.refine import PROCESSED, RefineResult, dlq_records, evaluate, outcome_column
 from siftlake.sinks.files import write_dlq, write_refined
-from siftlake.streaming.dedup import DEFAULT_MAX_LAG_SECONDS, mark_duplicates_stream
+from siftlake.streaming.dedup import mark_duplicates_stream
 
 # Fixed value: the flush timer, as the interval between micro-batches.
 DEFAULT_TRIGGER = "10 seconds"
@@ -23,7 +24,7 @@ def classify_stream(
     as_of: object = None,
     policy: DedupPolicy | str = "ttl",
     mappers: dict[str, Mapping] | None = None,
-    max_lag_seconds: int = DEFAULT_MAX_LAG_SECONDS,
+    max_lag_seconds: int | None = None,
 ) -> DataFrame:
     """Every raw event once, with its ``outcome``."""
     evaluated = evaluate(raw, as_of, mappers)
@@ -39,7 +40,7 @@ def batch_writer(
     The stateful result is written once, to ``classified/batch_id=N``; the
     outputs are then made from that table, so the pipeline runs once per batch.
     ``refined``: date-partitioned events. ``dlq``: JSON lines. ``counts``: events
-    per source and outcome.
+    per source and outcome, and how long writing the refined events took.
     """
     base = base.rstrip("/")
 
@@ -48,11 +49,13 @@ def batch_writer(
         part = f"{base}/classified/batch_id={batch_id}"
         batch.write.mode("overwrite").partitionBy("outcome").parquet(part)
         classified = spark.read.schema(batch.schema).parquet(part)
+        start = time.monotonic()
         write_refined(
             classified.filter(F.col("outcome") == PROCESSED), f"{base}/refined", max_records_per_file, batch_id
         )
+        spent = time.monotonic() - start
         write_dlq(dlq_records(classified, as_of), f"{base}/dlq", batch_id)
-        counts = RefineResult(classified).metrics.coalesce(1)
+        counts = RefineResult(classified).metrics.withColumn("flush_seconds", F.lit(spent))
         counts.write.mode("overwrite").parquet(f"{base}/counts/batch_id={batch_id}")
 
     return write
@@ -68,7 +71,7 @@ def start_refine(
     available_now: bool = False,
     trigger: str = DEFAULT_TRIGGER,
     max_records_per_file: int = 0,
-    max_lag_seconds: int = DEFAULT_MAX_LAG_SECONDS,
+    max_lag_seconds: int | None = None,
 ) -> StreamingQuery:
     """Run the pipeline into ``base``. A failed batch is replayed from ``checkpoint``."""
     writer = (
@@ -82,15 +85,13 @@ def start_refine(
     return writer.trigger(processingTime=trigger).start()
 
 
-def flush_seconds(query: StreamingQuery) -> DataFrame:
-    """Duration and size of the recent micro-batches, for histograms and quantiles.
+def flush_batches(spark: SparkSession, base: str) -> DataFrame:
+    """``batch_id, rows, seconds`` of every micro-batch with refined events, for histograms and quantiles.
 
-    Spark keeps a bounded number of progress reports, so this is a small frame.
+    From the ``counts`` written with each batch, so no batch is missing however
+    long the stream has run.
     """
-    from pyspark.sql import SparkSession
-
-    rows = [
-        (int(p["batchId"]), p["durationMs"].get("addBatch", 0) / 1000.0, int(p["numInputRows"]))
-        for p in query.recentProgress
-    ]
-    return SparkSession.active().createDataFrame(rows, "batch_id bigint, seconds double, rows bigint")
+    counts = spark.read.parquet(f"{base.rstrip('/')}/counts").filter(F.col("outcome") == PROCESSED)
+    return counts.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
+        F.sum("n").alias("rows"), F.max("flush_seconds").alias("seconds")
+    )

@@ -166,11 +166,11 @@ def test_a_hot_id_does_not_make_a_hot_task(spark):
             spark.conf.unset(name)
 
 
-def test_attach_beyond_the_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr("siftlake.operators.attach.HOT_KEYS", 2)
+@pytest.mark.parametrize("parts", [1, 8, 1_000])
+def test_attach_with_no_some_and_only_hot_keys(spark, parts):
     rows = spark.range(100).select(F.col("id").alias("seq"), F.sqrt(F.col("id")).cast("int").alias("k"))
     facts = rows.filter("k <> 3").groupBy("k").agg(F.count("*").alias("n"), F.max("seq").alias("last"))
-    got = {r.seq: (r.k, r["last"]) for r in attach(rows, facts, "k", "n").collect()}
+    got = {r.seq: (r.k, r["last"]) for r in attach(rows, facts, "k", "n", parts=parts).collect()}
     assert got == {
         i: (int(i**0.5), None if int(i**0.5) == 3 else min(99, (int(i**0.5) + 1) ** 2 - 1)) for i in range(100)
     }

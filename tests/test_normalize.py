@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.timestamps import iso_text, parse_event_time
 from siftlake.functions.values import first_truthy
-from siftlake.operators.normalize import ColumnMapping, normalize, register_mapper
+from siftlake.operators.normalize import ColumnMapping, normalize, python_mapping, register_mapper
 
 ID = "0123abcd-0123-abcd-0123-0123456789ab"
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -172,6 +172,23 @@ def test_custom_mapping(raw):
     assert json.loads(other.payload)["click_id"] == 1
 
 
+def test_a_failed_custom_mapping_concerns_its_own_event(raw):
+    mapping = ColumnMapping(
+        event_time=lambda doc: F.timestamp_seconds(F.variant_get(doc, "$.when", "bigint")),
+        payload=lambda doc: F.to_json(F.struct(F.try_variant_get(doc, "$.n", "int").alias("n"))),
+        error=lambda doc: F.try_variant_get(doc, "$.when", "bigint").isNull(),
+    )
+
+    def opaque(document):
+        return datetime.fromtimestamp(document["when"], timezone.utc), {"n": document["n"] + 1}
+
+    for mappers in (register_mapper(None, "mine", mapping), register_mapper(None, "mine", python_mapping(opaque))):
+        events = [("mine", {"when": 10, "n": 4}), ("mine", {"when": "oops", "n": 4}), ("mine", {"n": 1}), ("other", {"a": 1})]
+        rows = normalized(raw, events, mappers=mappers)
+        assert [r.parse_error for r in rows] == [False, True, True, False]
+        assert rows[0].event_timestamp == datetime(1970, 1, 1, 0, 0, 10)
+
+
 def test_plan_stays_small(raw):
     df = normalize(raw([(ID, "s", "{}")]), NOW).filter("ts_fallback AND NOT parse_error")
     assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 40_000

@@ -10,7 +10,8 @@ from siftlake.sinks.files import show_in_memory, write_dlq, write_refined
 from siftlake.sinks.table import create_table, insert_if_absent, jdbc_statements
 from siftlake.sources.kafka import kafka_options, kafka_to_raw, malformed_records
 from siftlake.sources.landing import accept_envelopes, read_landing, reject_envelopes
-from siftlake.sources.refined import read_dlq, read_refined, spread
+from siftlake.sources.merge import merge_sources
+from siftlake.sources.refined import read_dlq, read_refined
 
 ID = "0123abcd-0123-abcd-0123-0123456789a{}"
 
@@ -186,12 +187,6 @@ def test_jdbc_statement_keeps_existing_rows():
     assert options["dbtable"] == "events_staging" and "ON CONFLICT (event_id) DO NOTHING" in move
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, numPartitions=50)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, numPartitions=1)).rdd.getNumPartitions() == 4
-
-
 def test_blanks_before_a_json_object(spark):
     got = kafka_to_raw(messages(spark, ['\n{"event_id":"y"}', '\t {"event_id":"z"}'])).orderBy("seq").collect()
     assert [(r.event_id, r.is_object) for r in got] == [("y", True), ("z", True)]
@@ -214,3 +209,37 @@ def test_rejected_events_skip_the_dedup_join(raw):
     result = refine(raw([("bad", "s", "{}"), ("bad", "s", "{}")]), NOW)
     assert "Join" not in result.dlq._jdf.queryExecution().executedPlan().toString() and result.dlq.count() == 2
     result.discard()
+
+
+def test_merged_sources_keep_numbers_apart(spark):
+    ids = [ID.format(d) for d in "abc"]
+    topic = kafka_to_raw(messages(spark, [json.dumps({"event_id": i}) for i in ids[:2]] + ["{broken"]))
+    lines = spark.createDataFrame(
+        [(i, json.dumps({"event_id": e, "payload": {"a": 1}})) for i, e in enumerate([ids[2], ids[0], ids[1]])], "seq bigint, body string"
+    ).withColumn("received_at", F.timestamp_seconds(F.lit(1_706_000_000)))
+    merged = merge_sources(topic, accept_envelopes(lines))
+    assert merged.select("seq").distinct().count() == merged.count() == 6
+    for policy in ("first", "ttl", "lru"):
+        result = refine(merged, NOW, policy)
+        assert {r.outcome: r.n for r in result.metrics.groupBy("outcome").agg(F.sum("n").alias("n")).collect()} == {
+            "processed": 3, "duplicate": 2, "malformed": 1,
+        }
+        (dead,) = result.dlq.collect()
+        assert (dead.raw_payload, dead.error_reason, dead.outcome) == ("{broken", "malformed message", "malformed")
+        result.discard()
+
+
+def test_numbers_that_cannot_be_merged_are_refused(spark):
+    raw = spark.sql("SELECT -1L AS seq, 'e' AS event_id, 's' AS source, '{}' AS payload, current_timestamp() AS received_at")
+    with pytest.raises(Exception, match="event number out of range"):
+        merge_sources(raw, raw).collect()
+    with pytest.raises(ValueError):
+        merge_sources()
+
+
+def test_a_stage_that_exists_is_refused(raw, tmp_path):
+    (tmp_path / "mine").mkdir()
+    (tmp_path / "mine" / "file").write_text("kept")
+    with pytest.raises(Exception, match="already exists"):
+        refine(raw([("bad", "s", "{}")]), NOW, stage_path=str(tmp_path / "mine"))
+    assert (tmp_path / "mine" / "file").read_text() == "kept"

@@ -8,11 +8,13 @@ from siftlake import refine
 from siftlake.catalog.fixture import AS_OF, raw_events
 from siftlake.operators.dedup import DedupPolicy
 from siftlake.operators.metrics import FLUSH_BOUNDS, quantiles
-from siftlake.operators.rates import rates, stream_rates
+from siftlake.operators.rates import rates, read_rates, stream_rates
+from siftlake.sources.kafka import kafka_to_raw
 from siftlake.sources.landing import accept_envelopes, read_landing_stream
+from siftlake.sources.merge import merge_sources
 from siftlake.sources.refined import read_dlq, read_refined
 from siftlake.streaming.dedup import mark_duplicates_stream
-from siftlake.streaming.refine import classify_stream, flush_seconds, start_refine
+from siftlake.streaming.refine import classify_stream, flush_batches, start_refine
 
 PARTS = 3
 
@@ -54,7 +56,7 @@ def test_restarted_stream_equals_batch(spark, tmp_path):
     land(spark, folder, 1)
     run(spark, folder, base, policy)
     land(spark, folder, 2)
-    query = run(spark, folder, base, policy)
+    run(spark, folder, base, policy)
     want = batch_outcomes(spark, policy)
     assert outcomes(spark, base) == want
     processed = sum(o == "processed" for o in want.values())
@@ -62,8 +64,9 @@ def test_restarted_stream_equals_batch(spark, tmp_path):
     assert read_dlq(spark, f"{base}/dlq").count() == sum(o in ("validation", "unhandled_error") for o in want.values())
     counts = spark.read.parquet(f"{base}/counts").agg(F.sum("n")).first()[0]
     assert counts == len(want)
-    flushes = flush_seconds(query)
-    assert flushes.filter("seconds > 0").count() >= 1
+    flushes = flush_batches(spark, str(base))
+    assert flushes.filter("seconds > 0").count() == PARTS
+    assert flushes.agg(F.sum("rows")).first()[0] == processed
     p95 = quantiles(flushes, F.col("seconds"), FLUSH_BOUNDS, qs={"p95": 0.95}).first().p95
     assert 0 < p95 <= FLUSH_BOUNDS[-1]
 
@@ -87,31 +90,53 @@ def test_lru_is_refused_and_off_passes(spark, tmp_path):
 
 def test_landing_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    bodies = [{"event_id": "e", "payload": {"a": 1}}, {"event_id": 5}, {"source": "s"}]
-    (tmp_path / "in" / "a.json").write_text("\n".join(json.dumps(b) for b in bodies))
-    lines = read_landing_stream(spark, str(tmp_path / "in")).withColumn("seq", F.xxhash64("file", "body"))
+    same = {"payload": {"a": 1}}
+    bodies = [{"event_id": "e", "payload": {"a": 1}}, {"event_id": 5}, {"source": "s"}, same, same]
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.json").write_text("\r\n".join(json.dumps(b) for b in bodies) + "\n\n")
+    lines = read_landing_stream(spark, str(tmp_path / "in"))
     query = (
         accept_envelopes(lines).writeStream.format("parquet").option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    assert {r.source for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"webhook", "s"}
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(got) == 8 and {r.source for r in got} == {"webhook", "s"}
+    # Equal lines without an id stay apart, in one file and between files.
+    assert len({r.event_id for r in got}) == 7 and len({r.seq for r in got}) == 8
 
 
-def test_stream_rates_equal_batch_rates(spark, tmp_path):
+def test_stream_rates_with_late_events(spark, tmp_path):
+    """The newest file comes first, so everything after it is late."""
     folder = tmp_path / "in"
-    land(spark, folder, 0)
-    stream = spark.readStream.schema(part(spark, 0).schema).parquet(str(folder))
-    query = (
-        stream_rates(stream, "received_at", ["source"]).writeStream.outputMode("append").format("parquet")
-        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "progress"))
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    got = {(r.window_end_us, r.source): r.per_second for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    batch = rates(part(spark, 0), F.col("received_at"), ["source"]).collect()
-    want = {(r.window_end_us, r.source): r.per_second for r in batch}
-    # The windows still open at the watermark are not emitted yet; all others are.
-    last = max(r[0] for r in got)
-    assert got == {key: value for key, value in want.items() if key[0] <= last}
-    assert len(want) - len(got) < 100
+    schema = part(spark, 0).schema
+    for i in (2, 0, 1):
+        land(spark, folder, i)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+        stream_rates(stream, "received_at", str(tmp_path / "slots"), str(tmp_path / "progress"), ["source"], available_now=True).awaitTermination()
+    got = {(r.window_end_us, r.source): r.per_second for r in read_rates(spark, str(tmp_path / "slots"), ["source"]).collect()}
+    whole = raw_events(spark, TESTDATA).withColumn("received_at", F.col("received_at").cast("timestamp"))
+    want = {(r.window_end_us, r.source): r.per_second for r in rates(whole, F.col("received_at"), ["source"]).collect()}
+    assert got == want
+
+
+def test_malformed_messages_in_a_stream(spark, tmp_path):
+    """Kafka messages and landing lines through one stream pipeline."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "messages").mkdir()
+    shared = "0123abcd-0123-abcd-0123-0123456789ab"
+    (tmp_path / "in" / "a.json").write_text(json.dumps({"event_id": shared, "payload": {"a": 1}}))
+    schema = "topic string, partition int, offset bigint, value string, timestamp timestamp"
+    rows = [("orders", 0, 0, "{broken"), ("orders", 0, 1, json.dumps({"event_id": shared, "a": 1})), ("orders", 0, 2, '{"event_id":5}')]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string")
+    df.withColumn("timestamp", F.timestamp_seconds(F.lit(1))).write.mode("append").parquet(str(tmp_path / "messages"))
+    messages = kafka_to_raw(spark.readStream.schema(schema).parquet(str(tmp_path / "messages")))
+    raw = merge_sources(messages, accept_envelopes(read_landing_stream(spark, str(tmp_path / "in"))))
+    base = tmp_path / "out"
+    start_refine(raw, str(base), str(base / "progress"), policy="first", available_now=True).awaitTermination()
+    counts = spark.read.parquet(f"{base}/counts").groupBy("source", "outcome").agg(F.sum("n").alias("n")).collect()
+    assert {(r.source, r.outcome): r.n for r in counts} == {
+        ("kafka-orders", "malformed"): 2, ("kafka-orders", "processed"): 1, ("webhook", "duplicate"): 1,
+    }
+    dead = read_dlq(spark, f"{base}/dlq").collect()
+    assert sorted(r.event_id for r in dead)[0] == "" and {r.error_reason for r in dead} == {"malformed message"}
