@@ -33,9 +33,14 @@ _UUID_OF_M = (
     "substr(m,1,8) || '-' || substr(m,9,4) || '-' || substr(m,13,4) || '-' || substr(m,17,4) || '-' || substr(m,21,12)"
 )
 
+_HOT = "WHEN event_id % 3 = 0 THEN -1 WHEN event_id % 6 = 2 THEN event_id - 1"
 
-def raw_events_sql(dialect: str, events: str = "events") -> str:
-    """The derivation as one query over the relation ``events``."""
+
+def raw_events_sql(dialect: str, events: str = "events", hot: bool = False) -> str:
+    """The derivation as one query over the relation ``events``.
+
+    With ``hot`` a third of the events share one id and another third come in pairs.
+    """
     d = _DIALECTS[dialect]
     text = d["TEXT"]
 
@@ -72,7 +77,7 @@ FROM (
          ELSE 'null' END AS x
   FROM (
     SELECT event_id AS i, ts, user_id, value, props,
-      CASE WHEN event_id % 20 IN (7, 8) THEN event_id - (event_id % 20 - 6)
+      CASE {_HOT if hot else ""} WHEN event_id % 20 IN (7, 8) THEN event_id - (event_id % 20 - 6)
            WHEN event_id >= 600 AND event_id % 97 = 5 THEN event_id - 600
            ELSE event_id END AS k,
       CASE event_type WHEN 'purchase' THEN 'kafka-orders' WHEN 'click' THEN 'kafka-clicks'
@@ -83,11 +88,11 @@ FROM (
 ) AS h"""
 
 
-def raw_from_events(events: DataFrame) -> DataFrame:
+def raw_from_events(events: DataFrame, hot: bool = False) -> DataFrame:
     """``raw_events`` over a given ``events`` frame, batch or streaming."""
     events.createOrReplaceTempView("siftlake_events")
-    return events.sparkSession.sql(raw_events_sql("spark", "siftlake_events"))
+    return events.sparkSession.sql(raw_events_sql("spark", "siftlake_events", hot))
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+def raw_events(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    return raw_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), hot)

@@ -23,14 +23,15 @@ def _or(*fields: str) -> str:
 
 
 # raw -> chosen time value -> parsed time -> rule messages -> outcome before dedup
-_CHAIN = f"""
-raw_events AS ({raw_events_sql("duckdb")}),
+_RAW = f"raw_events AS (SELECT *, false AS malformed FROM ({raw_events_sql('duckdb')}))"
+_RAW_HOT = f"raw_events AS (SELECT *, false AS malformed FROM ({raw_events_sql('duckdb', hot=True)}))"
+_STEPS = f"""
 chosen AS (
   SELECT *, epoch_us(received_at) AS ingest_us,
     CASE source WHEN 'kafka-orders' THEN {_or("created_at", "timestamp")}
                 WHEN 'kafka-clicks' THEN {_or("ts", "timestamp")}
                 ELSE {_or("timestamp", "event_timestamp", "ts", "created_at")} END AS t
-  FROM raw_events
+  FROM given
 ),
 typed AS (
   SELECT *, CASE WHEN t LIKE '"%' THEN t[2:-2] END AS s, try_cast(t AS HUGEINT) AS num FROM chosen
@@ -74,7 +75,8 @@ judged AS (
     bad_id OR bad_source OR bad_time OR bad_payload AS invalid
   FROM ruled
 ),
-open_events AS (SELECT * FROM judged WHERE NOT parse_error AND NOT invalid)"""
+open_events AS (SELECT * FROM judged WHERE NOT malformed AND NOT parse_error AND NOT invalid)"""
+_CHAIN = f"{_RAW},\ngiven AS (SELECT * FROM raw_events),{_STEPS}"
 
 _FIRST = """
 dropped AS (
@@ -115,22 +117,22 @@ _NONE = "\ndropped AS (SELECT seq FROM open_events WHERE false)"
 _CLASSIFIED = """
 classified AS (
   SELECT j.*,
-    CASE WHEN parse_error THEN 'unhandled_error' WHEN invalid THEN 'validation'
+    CASE WHEN malformed THEN 'malformed' WHEN parse_error THEN 'unhandled_error' WHEN invalid THEN 'validation'
          WHEN d.seq IS NOT NULL THEN 'duplicate' ELSE 'processed' END AS outcome,
-    CASE WHEN parse_error THEN 'unhandled processing error' WHEN invalid THEN messages END AS error_reason
+    CASE WHEN malformed THEN 'malformed message' WHEN parse_error THEN 'unhandled processing error' WHEN invalid THEN messages END AS error_reason
   FROM judged j LEFT JOIN dropped d ON d.seq = j.seq
 ),
 valid AS (SELECT *, ingest_us - event_us AS lag_us FROM classified WHERE outcome = 'processed'),
-dlq AS (SELECT * FROM classified WHERE outcome IN ('validation', 'unhandled_error'))"""
+dlq AS (SELECT * FROM classified WHERE outcome IN ('validation', 'unhandled_error', 'malformed'))"""
 
 
 def _normalized(select: str) -> str:
     return f"WITH {_CHAIN}\n{select}"
 
 
-def _after(select: str, dedup: str = _FIRST, extra: str = "") -> str:
+def _after(select: str, dedup: str = _FIRST, extra: str = "", chain: str = _CHAIN) -> str:
     more = f",{extra}" if extra else ""
-    return f"WITH RECURSIVE {_CHAIN},{dedup},{_CLASSIFIED}{more}\n{select}"
+    return f"WITH RECURSIVE {chain},{dedup},{_CLASSIFIED}{more}\n{select}"
 
 
 _DEDUP_COLUMNS = "SELECT seq, event_id, outcome FROM classified"
@@ -255,6 +257,39 @@ sized AS (SELECT tick, chunk, count(*) AS size FROM ranked GROUP BY tick, chunk)
 _VALID_COLUMNS = "event_id, source, ingest_us, event_us, 1 AS version"
 
 
+# Both sources as one: messages get the even numbers, envelopes the odd ones.
+_MERGED_CHAIN = f"""{_RAW},{_MESSAGES},{_BODIES},
+topic_events AS (
+  SELECT number * 2 AS seq, 'kafka-' || topic AS source, received_at,
+    NOT is_json OR (has_id AND id_kind <> 'VARCHAR') AS malformed,
+    CASE WHEN NOT has_id THEN {_DIGEST_UUID} WHEN id_kind = 'VARCHAR' THEN id_text ELSE '' END AS event_id,
+    CASE WHEN is_object AND NOT (has_id AND id_kind <> 'VARCHAR') THEN value ELSE '{{"raw":1}}' END AS payload, value AS text
+  FROM identified
+),
+landed_events AS (
+  SELECT seq * 2 + 1 AS seq,
+    CASE WHEN seq % 23 IN (8, 9) THEN 'webhook' WHEN seq % 23 = 10 THEN 's' ELSE source END AS source, received_at,
+    false AS malformed, CASE WHEN seq % 23 IN (8, 9, 10) THEN {_DIGEST_UUID} ELSE event_id END AS event_id,
+    CASE WHEN seq % 23 IN (9, 10) THEN '{{}}' WHEN seq % 23 = 8 THEN '{{"a":1}}' ELSE payload END AS payload, body AS text
+  FROM numbered WHERE seq % 23 NOT IN (1, 2, 3, 4, 5, 6, 7)
+),
+given AS (SELECT * FROM topic_events UNION ALL BY NAME SELECT * FROM landed_events),{_STEPS}"""
+_HOT_CHAIN = f"{_RAW_HOT},\ngiven AS (SELECT * FROM raw_events),{_STEPS}"
+# A failed mapping is an unhandled error; else it replaces the time parsing, and its payload is never empty.
+_STRICT_CHAIN = _CHAIN.replace(
+    "open_events AS (SELECT * FROM judged",
+    """mapped AS (
+  SELECT *, TRY_CAST(json_extract_string(payload, '$.props.k') AS BIGINT) AS k FROM judged
+),
+remapped AS (
+  SELECT * REPLACE (
+    CASE WHEN source = 'webhook-signup' THEN k IS NULL OR k > 50 ELSE parse_error END AS parse_error,
+    CASE WHEN source = 'webhook-signup' THEN bad_id ELSE invalid END AS invalid) FROM mapped
+),
+open_events AS (SELECT * FROM remapped""",
+)
+
+
 def all_oracles() -> dict[str, str]:
     lag_seconds = "(lag_us / 1000000.0::DOUBLE)"
     lag_histogram = _histogram("valid", lag_seconds, _LATENCY, "source")
@@ -319,6 +354,27 @@ FROM bodies WHERE NOT json_valid(body) OR json_type(body) <> 'OBJECT'
         "dedup_lru_500": _after(_DEDUP_COLUMNS, _LRU_500),
         "dedup_ttl_400": _after(_DEDUP_COLUMNS, _ttl(400)),
         "dedup_ttl_3600": _after(_DEDUP_COLUMNS, _ttl(3600)),
+        "dedup_lru_chunks": _after(_DEDUP_COLUMNS, _LRU_500),
+        "dedup_lru_short_chunks": _after(_DEDUP_COLUMNS, _LRU_500),
+        "dedup_first_hot": _after(_DEDUP_COLUMNS, chain=_HOT_CHAIN),
+        "dedup_ttl_chain": _after(_DEDUP_COLUMNS, _ttl(400), chain=_HOT_CHAIN),
+        "dedup_lru_hot": _after(_DEDUP_COLUMNS, _LRU_500, chain=_HOT_CHAIN),
+        "merged_sources_outcomes": _after("SELECT seq, source, outcome FROM classified", chain=_MERGED_CHAIN),
+        "merged_sources_ttl": _after(
+            "SELECT seq, source, outcome FROM classified", _ttl(400).replace("numbered", "ordered"), chain=_MERGED_CHAIN
+        ),
+        "merged_sources_lru": _after("SELECT seq, source, outcome FROM classified", _LRU_500, chain=_MERGED_CHAIN),
+        "dlq_with_malformed": _after(
+            "SELECT seq, source, outcome, error_reason, CASE WHEN outcome = 'malformed' THEN text END AS text FROM dlq",
+            chain=_MERGED_CHAIN,
+        ),
+        "custom_mapping_errors": _after("SELECT seq, source, outcome FROM classified", chain=_STRICT_CHAIN).replace(
+            "FROM judged j LEFT JOIN", "FROM remapped j LEFT JOIN"
+        ),
+        "batch_members_hot": _after(
+            "SELECT seq, ingest_us // 864000000000 AS tick, (row_number() OVER (PARTITION BY ingest_us // 864000000000 "
+            "ORDER BY ingest_us, seq) - 1) // 100 AS chunk FROM valid"
+        ),
         "dedup_off": _after(_DEDUP_COLUMNS, _NONE),
         "dedup_seen_size": _normalized(
             "SELECT count(DISTINCT event_id) AS n, least(count(DISTINCT event_id), 500) AS n_lru_500 FROM open_events"
@@ -417,4 +473,9 @@ SELECT count(*) AS total, count_if(status = 202) AS success,
 FROM results""",
         "stream_outcomes": _after(outcome_counts, _ttl(3600)),
         "stream_dedup_ttl": _after(_DEDUP_COLUMNS, _ttl(400)),
+        "stream_dedup_restarts": _after(_DEDUP_COLUMNS, _ttl(400)),
+        "stream_rates": _normalized(_rate("raw_events", "source")),
+        "flush_batches": _after(
+            "SELECT seq % 3 AS batch_id, count(*) AS rows, true AS timed FROM valid GROUP BY seq % 3", _NONE
+        ),
     }

@@ -7,6 +7,7 @@ microseconds), so that results compare between engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,16 +20,17 @@ from siftlake.operators import metrics as M
 from siftlake.operators.dedup import DedupPolicy, seen_size
 from siftlake.operators.load_report import load_report
 from siftlake.operators.normalize import ColumnMapping, normalize, register_mapper
-from siftlake.operators.rates import rates, sliding_quantiles
+from siftlake.operators.rates import rates, read_rates, sliding_quantiles, stream_rates
 from siftlake.operators.validate import error_reason, rule_counts, validate
-from siftlake.plans.refine import RefineResult, evaluate, refine
-from siftlake.session import configure, scratch_path
+from siftlake.plans.refine import MALFORMED, RefineResult, evaluate, refine
+from siftlake.session import configure, remove_path, scratch_path
 from siftlake.sinks.files import show_in_memory, write_dlq, write_refined
 from siftlake.sinks.table import create_table, insert_if_absent
 from siftlake.sources.kafka import kafka_to_raw, malformed_records
 from siftlake.sources.landing import accept_envelopes, reject_envelopes
+from siftlake.sources.merge import merge_sources
 from siftlake.sources.refined import read_dlq, read_refined
-from siftlake.streaming.refine import start_refine
+from siftlake.streaming.refine import flush_batches, start_refine
 
 TOPICS = ("orders", "clicks", "misc")
 LOAD_SECONDS = 2_592_000.0
@@ -51,8 +53,7 @@ def refined(spark: SparkSession, sf_dir: str, policy: DedupPolicy | str = "first
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejections are settled before dedup, so no dedup runs for them."""
-    return refined(spark, sf_dir, "off").dlq
+    return refined(spark, sf_dir).dlq
 
 
 def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +101,20 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_events(spark, sf_dir).select("seq", body.alias("body"), F.col("received_at").cast("timestamp").alias("received_at"))
 
 
+def merged_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event twice, as a message and as an envelope; both sources number from 0."""
+    return merge_sources(
+        kafka_to_raw(kafka_messages(spark, sf_dir), TOPICS), accept_envelopes(envelopes(spark, sf_dir))
+    )
+
+
+def strict_signup_mapping() -> ColumnMapping:
+    """Fails for some events: their ``k`` is missing or above 50."""
+    lenient = signup_mapping()
+    key = lambda doc: F.try_variant_get(doc, "$.props.k", "bigint")
+    return replace(lenient, error=lambda doc: key(doc).isNull() | (key(doc) > 50))
+
+
 def signup_mapping() -> ColumnMapping:
     key = lambda doc: F.try_variant_get(doc, "$.props.k", "bigint")
     return ColumnMapping(
@@ -188,6 +203,36 @@ def dedup(policy: DedupPolicy) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def dedup_hot(policy: DedupPolicy) -> Callable[[SparkSession, str], DataFrame]:
+    """One id holds a third of the events, another third come in pairs."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return refine(raw_events(spark, sf_dir, hot=True), AS_OF, policy).classified.select("seq", "event_id", "outcome")
+
+    return query
+
+
+def merged_outcomes(policy: DedupPolicy) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return refine(merged_sources(spark, sf_dir), AS_OF, policy).classified.select("seq", "source", "outcome")
+
+    return query
+
+
+def dlq_with_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dead = refine(merged_sources(spark, sf_dir), AS_OF).dlq
+    return dead.select("seq", "source", "outcome", "error_reason", F.when(F.col("outcome") == MALFORMED, F.col("raw_payload")).alias("text"))
+
+
+def custom_mapping_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mappers = register_mapper(None, "webhook-signup", strict_signup_mapping())
+    return refine(raw_events(spark, sf_dir), AS_OF, mappers=mappers).classified.select("seq", "source", "outcome")
+
+
+def batch_members_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of ten days: the fullest holds a third of the events."""
+    return B.assign_batches(refined(spark, sf_dir).valid, max_size=100, interval=864_000)
+
+
 def dedup_seen_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = evaluate(raw_events(spark, sf_dir), AS_OF).filter(F.col("verdict").isNull())
     return one_row(seen_size(accepted), seen_size(accepted, 500).withColumnRenamed("n", "n_lru_500"))
@@ -341,8 +386,7 @@ def rate_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rate_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = refined(spark, sf_dir, "off").classified.filter("outcome <> 'processed'")
-    return rates(rejected, F.col("ingest_timestamp"), ["source"])
+    return rates(refined(spark, sf_dir).rejected, F.col("ingest_timestamp"), ["source"])
 
 
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,18 +402,47 @@ def _stream(spark: SparkSession, sf_dir: str, policy: DedupPolicy) -> str:
     schema = spark.read.parquet(path).schema
     raw = raw_from_events(spark.readStream.schema(schema).parquet(f"{path}*"))
     base = scratch_path(spark, "stream")
-    # A stream keeps one state store per shuffle partition; on one machine more
-    # stores than cores only cost time.
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set("spark.sql.shuffle.partitions", min(int(partitions), spark.sparkContext.defaultParallelism))
-    try:
-        start_refine(raw, base, f"{base}/progress", AS_OF, policy, available_now=True).awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    start_refine(raw, base, f"{base}/progress", AS_OF, policy, available_now=True, keep_classified=True).awaitTermination()
     return base
 
 
+def _arriving(spark: SparkSession, sf_dir: str, piece: Column, order: tuple[int, ...], run: Callable[[DataFrame], None]) -> None:
+    """All events as one new file per ``piece``; ``run`` starts the stream anew after each."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folder = scratch_path(spark, "arriving")
+    for place in order:
+        events.filter(piece == place).coalesce(1).write.mode("append").parquet(folder)
+        run(raw_from_events(spark.readStream.schema(events.schema).parquet(folder)))
+    remove_path(spark, folder)
+
+
+def stream_dedup_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three thirds of the events in order, the stream started anew for each."""
+    base = scratch_path(spark, "stream")
+    last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).first()[0]
+    piece = F.expr(f"event_id * 3 DIV {(last or 0) + 1}")
+    policy = DedupPolicy("ttl", ttl_seconds=400)
+    _arriving(spark, sf_dir, piece, (0, 1, 2), lambda raw: start_refine(
+        raw, base, f"{base}/progress", AS_OF, policy, available_now=True, keep_classified=True).awaitTermination())
+    return spark.read.parquet(f"{base}/classified").select("seq", "event_id", "outcome")
+
+
+def flush_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "stream")
+    _arriving(spark, sf_dir, F.col("event_id") % 3, (0, 1, 2), lambda raw: start_refine(
+        raw, base, f"{base}/progress", AS_OF, "off", available_now=True).awaitTermination())
+    return flush_batches(spark, base).select("batch_id", "rows", (F.col("seconds") > 0).alias("timed"))
+
+
+def late_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every later file lies all over the time of the first one."""
+    base = scratch_path(spark, "rates")
+    at = F.col("received_at").cast("timestamp")
+    _arriving(spark, sf_dir, F.col("event_id") % 3, (2, 0, 1), lambda raw: stream_rates(
+        raw.withColumn("received_at", at), "received_at", f"{base}/slots", f"{base}/progress", ["source"], available_now=True).awaitTermination())
+    return read_rates(spark, f"{base}/slots", ["source"])
+
+
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream(spark, sf_dir, DedupPolicy("ttl", ttl_seconds=3_600))
     return spark.read.parquet(f"{base}/counts").groupBy("source", "outcome").agg(F.sum("n").alias("n"))
@@ -396,6 +469,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_lru_500": dedup(DedupPolicy("lru", capacity=500)),
     "dedup_ttl_400": dedup(DedupPolicy("ttl", ttl_seconds=400)),
     "dedup_ttl_3600": dedup(DedupPolicy("ttl", ttl_seconds=3_600)),
+    "dedup_lru_chunks": dedup(DedupPolicy("lru", capacity=500, chunk_rows=1_100)),
+    "dedup_lru_short_chunks": dedup(DedupPolicy("lru", capacity=500, chunk_rows=300)),
+    "dedup_first_hot": dedup_hot(DedupPolicy("first")),
+    "dedup_ttl_chain": dedup_hot(DedupPolicy("ttl", ttl_seconds=400, fold_limit=50)),
+    "dedup_lru_hot": dedup_hot(DedupPolicy("lru", capacity=500, chunk_rows=300)),
+    "merged_sources_outcomes": merged_outcomes(DedupPolicy("first")),
+    "merged_sources_ttl": merged_outcomes(DedupPolicy("ttl", ttl_seconds=400)),
+    "merged_sources_lru": merged_outcomes(DedupPolicy("lru", capacity=500)),
+    "dlq_with_malformed": dlq_with_malformed,
+    "custom_mapping_errors": custom_mapping_errors,
+    "batch_members_hot": batch_members_hot,
     "dedup_off": dedup(DedupPolicy("off")),
     "dedup_seen_size": dedup_seen_size,
     "duplicates_dropped": duplicates_dropped,
@@ -429,6 +513,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_report": load_summary,
     "stream_outcomes": stream_outcomes,
     "stream_dedup_ttl": stream_dedup_ttl,
+    "stream_dedup_restarts": stream_dedup_restarts,
+    "stream_rates": late_rates,
+    "flush_batches": flush_sizes,
 }
 
 

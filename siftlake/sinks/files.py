@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.functions.timestamps import utc_date
 from siftlake.schema import CANONICAL_COLUMNS, DLQ_COLUMNS
+from siftlake.sources.refined import read_refined
 
 
 def write_refined(
@@ -39,6 +40,19 @@ def write_refined(
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
+def compact_refined(spark: SparkSession, path: str, target: str, first_day: str, last_day: str) -> None:
+    """Write the days from ``first_day`` to ``last_day`` of a stream's table to ``target``, in few files.
+
+    Every micro-batch leaves a directory per date. ``path`` is only read: point
+    readers to ``target`` and remove the old days once it is complete.
+    """
+    days = read_refined(spark, path, first_day, last_day)
+    (
+        days.select(*CANONICAL_COLUMNS, "ingest_date").hint("rebalance", F.col("ingest_date"))
+        .write.option("compression", "snappy").partitionBy("ingest_date").parquet(target)
+    )
+
+
 def _line(first_seen: Column) -> Column:
     """One record as JSON; the payload is embedded as JSON, not as quoted text."""
     shown = F.date_format(first_seen, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
@@ -61,6 +75,11 @@ def write_dlq(records: DataFrame, path: str, batch_id: int | None = None) -> Non
 
 
 def show_in_memory(records: DataFrame, name: str) -> DataFrame:
-    """The non-durable variant: a temporary view for this session."""
+    """The non-durable variant: a view for this session, computed once and kept by the executors.
+
+    What does not fit in their memory spills to their disks, and what a lost
+    executor held is computed anew. ``uncacheTable(name)`` lets go of it.
+    """
     records.createOrReplaceTempView(name)
+    records.sparkSession.catalog.cacheTable(name)
     return records.sparkSession.table(name)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from siftlake.operators.dedup import DedupPolicy
 from siftlake.operators.normalize import Mapping
 from siftlake.plans.refine import PROCESSED, RefineResult, dlq_records, evaluate, outcome_column
+from siftlake.session import remove_path
 from siftlake.sinks.files import write_dlq, write_refined
 from siftlake.streaming.dedup import mark_duplicates_stream
 
@@ -33,14 +34,15 @@ def classify_stream(
 
 
 def batch_writer(
-    base: str, as_of: object = None, max_records_per_file: int = 0
+    base: str, as_of: object = None, max_records_per_file: int = 0, keep_classified: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch; writing it again replaces it.
 
     The stateful result is written once, to ``classified/batch_id=N``; the
     outputs are then made from that table, so the pipeline runs once per batch.
-    ``refined``: date-partitioned events. ``dlq``: JSON lines. ``counts``: events
-    per source and outcome, and how long writing the refined events took.
+    It goes once they are written, unless ``keep_classified``. ``refined``:
+    date-partitioned events. ``dlq``: JSON lines. ``counts``: events per source
+    and outcome, and how long writing the refined events took.
     """
     base = base.rstrip("/")
 
@@ -57,6 +59,8 @@ def batch_writer(
         write_dlq(dlq_records(classified, as_of), f"{base}/dlq", batch_id)
         counts = RefineResult(classified).metrics.withColumn("flush_seconds", F.lit(spent))
         counts.write.mode("overwrite").parquet(f"{base}/counts/batch_id={batch_id}")
+        if not keep_classified:
+            remove_path(spark, part)
 
     return write
 
@@ -72,13 +76,14 @@ def start_refine(
     trigger: str = DEFAULT_TRIGGER,
     max_records_per_file: int = 0,
     max_lag_seconds: int | None = None,
+    keep_classified: bool = False,
 ) -> StreamingQuery:
     """Run the pipeline into ``base``. A failed batch is replayed from ``checkpoint``."""
     writer = (
         classify_stream(raw, as_of, policy, mappers, max_lag_seconds)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(base, as_of, max_records_per_file))
+        .foreachBatch(batch_writer(base, as_of, max_records_per_file, keep_classified))
     )
     if available_now:
         return writer.trigger(availableNow=True).start()

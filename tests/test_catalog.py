@@ -16,7 +16,8 @@ from siftlake.catalog.queries import all_queries  # noqa: E402
 
 SAMPLE = [
     "flagship_outcomes", "normalize_all", "validate_reasons", "kafka_to_raw", "envelope_accept", "dedup_ttl_400",
-    "dlq_page", "batch_members", "sink_parquet_roundtrip", "histogram_lag", "quantiles_lag", "rate_failed", "load_report",
+    "dlq_page", "dedup_first_hot", "dedup_ttl_chain", "dedup_lru_chunks", "merged_sources_ttl", "dlq_with_malformed",
+    "custom_mapping_errors", "stream_rates", "batch_members", "sink_parquet_roundtrip", "histogram_lag", "quantiles_lag", "rate_failed", "load_report",
 ]
 
 

@@ -9,6 +9,7 @@ from siftlake.catalog.fixture import AS_OF, raw_events
 from siftlake.operators.dedup import DedupPolicy
 from siftlake.operators.metrics import FLUSH_BOUNDS, quantiles
 from siftlake.operators.rates import rates, read_rates, stream_rates
+from siftlake.sinks.files import compact_refined
 from siftlake.sources.kafka import kafka_to_raw
 from siftlake.sources.landing import accept_envelopes, read_landing_stream
 from siftlake.sources.merge import merge_sources
@@ -33,7 +34,7 @@ def land(spark, folder, i):
 def run(spark, folder, base, policy, files_per_trigger=1):
     schema = part(spark, 0).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(str(folder))
-    query = start_refine(stream, str(base), str(base / "progress"), AS_OF, policy, available_now=True)
+    query = start_refine(stream, str(base), str(base / "progress"), AS_OF, policy, available_now=True, keep_classified=True)
     query.awaitTermination()
     return query
 
@@ -61,6 +62,10 @@ def test_restarted_stream_equals_batch(spark, tmp_path):
     assert outcomes(spark, base) == want
     processed = sum(o == "processed" for o in want.values())
     assert read_refined(spark, f"{base}/refined").count() == processed
+    compact_refined(spark, f"{base}/refined", f"{base}/compact", "1970-01-01", "2999-12-31")
+    assert read_refined(spark, f"{base}/compact").count() == processed
+    days = read_refined(spark, f"{base}/compact").select("ingest_date").distinct().count()
+    assert len(list(base.glob("compact/*/*.parquet"))) == days
     assert read_dlq(spark, f"{base}/dlq").count() == sum(o in ("validation", "unhandled_error") for o in want.values())
     counts = spark.read.parquet(f"{base}/counts").agg(F.sum("n")).first()[0]
     assert counts == len(want)
@@ -134,6 +139,7 @@ def test_malformed_messages_in_a_stream(spark, tmp_path):
     raw = merge_sources(messages, accept_envelopes(read_landing_stream(spark, str(tmp_path / "in"))))
     base = tmp_path / "out"
     start_refine(raw, str(base), str(base / "progress"), policy="first", available_now=True).awaitTermination()
+    assert not list(base.glob("classified/batch_id=*"))
     counts = spark.read.parquet(f"{base}/counts").groupBy("source", "outcome").agg(F.sum("n").alias("n")).collect()
     assert {(r.source, r.outcome): r.n for r in counts} == {
         ("kafka-orders", "malformed"): 2, ("kafka-orders", "processed"): 1, ("webhook", "duplicate"): 1,
