@@ -195,6 +195,7 @@ numbered AS (
   SELECT *, md5(seq::VARCHAR || chr(31) || epoch_us(received_at)::VARCHAR || chr(31) || body) AS digest FROM bodies
 )"""
 
+# Upper bounds of two of the histograms.
 _LATENCY = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5)
 _SIZES = (1.0, 10.0, 50.0, 100.0, 250.0, 500.0, 1000.0, 2500.0, 5000.0)
 

@@ -30,6 +30,7 @@ def validate(events: DataFrame, as_of: object = None) -> DataFrame:
     may_be_empty = F.col("may_be_empty") if "may_be_empty" in events.columns else F.lit(True)
     event_id, version, event_us = F.col("event_id"), F.col("version"), F.unix_micros("event_timestamp")
     limit_us = F.unix_micros(as_instant(as_of)) + F.lit(FUTURE_TOLERANCE_SECONDS * MICROS)
+    # The five message texts.
     failures = [
         (~F.coalesce(event_id.rlike(UUID_PATTERN), F.lit(False)),
          F.concat(F.lit("event_id is not a valid UUID: "), quoted(event_id))),
