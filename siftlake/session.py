@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,5 +86,41 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote, on whatever file system it lies."""
+    files, target = _hadoop_path(spark, path)
+    files.delete(target, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Put this package on the path of the session's Python workers, once per application.
+
+    Python tasks refer to its modules by name, and an executor knows those only
+    if they are installed there. The archive lies in the shared folder, so an
+    executor that joins later, or replaces a lost one, fetches it as well.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    sources = sorted(root.rglob("*.py"))
+    if sources:  # none if the package itself was imported from an archive, which the executors have then
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            for source in sources:
+                archive.write(source, str(source.relative_to(root.parent)))
+        path = f"{scratch_path(spark, 'code')}/siftlake.zip"
+        files, target = _hadoop_path(spark, path)
+        stream = files.create(target)
+        try:
+            stream.write(bytearray(packed.getvalue()))
+        finally:
+            stream.close()
+        context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
