@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siftlake.llm.common import Chunks, only, slices
+from siftlake.llm.common import Chunks, in_arrow, only, slices
 
 #: Bytes of a word from which the heap takes over; words in one recursive query; entries of a worker's caches.
 LONG, WORDS, CACHE = 400, 40_000, 500_000
@@ -201,7 +201,7 @@ def encode_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame
                 ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in bpe.encode(rows.column("text"))[0]]
                 yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
-    return only(documents, doc_id="long", text="string").mapInArrow(task, "doc_id long, ids array<int>")
+    return in_arrow(only(documents, doc_id="long", text="string"), task, "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -213,7 +213,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             runs = [np.asarray(ids or [], "<u4").tobytes() for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "bytes": pa.array(bpe.decode(runs), pa.binary())})
 
-    return only(encoded, doc_id="long", ids="array<int>").mapInArrow(task, "doc_id long, bytes binary")
+    return in_arrow(only(encoded, doc_id="long", ids="array<int>"), task, "doc_id long, bytes binary")
 
 
 def bpe_digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -229,4 +229,4 @@ def bpe_digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
                     "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                     "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in back], pa.string())})
 
-    return only(documents, doc_id="long", text="string").mapInArrow(task, DIGESTS)
+    return in_arrow(only(documents, doc_id="long", text="string"), task, DIGESTS)

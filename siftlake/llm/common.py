@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,9 @@ import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from siftlake.session import ship_package
 
 #: Characters of text that a Python task holds at once beside its Arrow batch.
 SLICE_CHARS = 4_000_000
@@ -25,6 +28,12 @@ def only(df: DataFrame, **kinds: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in kinds.items()])
 
 
+def in_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` whose tasks find this package wherever they run."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Runs of a batch's rows with about ``limit`` bytes of text each, one row at least."""
     column = batch.column(batch.schema.get_field_index(text))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from siftlake.llm.common import only, slices
+from siftlake.llm.common import in_arrow, only, slices
 
 WINDOW, HIDDEN = 64, 10
 DOCS, WINDOWS, LANGUAGES = 250, 12, 64
@@ -180,7 +180,7 @@ def sample(documents: DataFrame, docs: int = DOCS, per_doc: int = WINDOWS) -> tu
 
     picked = rows.filter(F.col("doc_id").isin(chosen)) if chosen else rows.limit(0)
     # as many rows as the sample's bound, however many there are in the table
-    found = picked.mapInArrow(cut, "doc_id long, lang string, place int, codes array<smallint>").orderBy("doc_id", "place", "lang", "codes").limit(docs * per_doc * len(names) + 1).toArrow()
+    found = in_arrow(picked, cut, "doc_id long, lang string, place int, codes array<smallint>").orderBy("doc_id", "place", "lang", "codes").limit(docs * per_doc * len(names) + 1).toArrow()
     names = sorted(names)
     codes = np.array(found["codes"].to_pylist(), np.int16).reshape(-1, WINDOW)
     return codes, np.array([names.index(x) for x in found["lang"].to_pylist()], np.int64), names
@@ -233,7 +233,7 @@ def with_language(documents: DataFrame, model: LanguageModel, pred: str = "lang_
                 yield pa.RecordBatch.from_arrays([*[part.column(name) for name in names], *found], names=[*names, pred, score])
 
     out = StructType([*passed, StructField(pred, StringType()), StructField(score, DoubleType())])
-    return base.mapInArrow(task, out)
+    return in_arrow(base, task, out)
 
 
 def predict_languages(documents: DataFrame) -> DataFrame:

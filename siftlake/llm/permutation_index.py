@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftlake.llm.common import in_arrow
+
 PIVOTS, PREFIX, SHARE, LEAST = 1024, 64, 0.08, 400
 #: Vectors and queries in a block, about.
 BLOCK, QUERIES = 16_384, 4_096
@@ -115,7 +117,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int = P
 
     def dealt(df: DataFrame, is_query: bool, own: int, others: int) -> DataFrame:
         kind = "vec_id long, embedding array<double>, near array<int>"
-        rows = df.filter(F.size("embedding") == width).mapInArrow(order(is_query), kind)
+        rows = in_arrow(df.filter(F.size("embedding") == width), order(is_query), kind)
         mine = F.pmod(F.xxhash64("vec_id"), F.lit(own)).cast("int")
         theirs = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
         names = ("query_block", "block") if is_query else ("block", "query_block")

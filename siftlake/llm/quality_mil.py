@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import only, slices
+from siftlake.llm.common import in_arrow, only, slices
 
 PASSAGE, BUCKETS, ENCODING, ATTENTION = 512, 512, 24, 12
 DOCS, BAG = 1500, 32
@@ -155,7 +155,7 @@ def sample(documents: DataFrame, labels: DataFrame, docs: int = DOCS, bag: int =
 
     rows = only(documents, doc_id="long", text="string").filter(F.col("doc_id").isin(list(chosen)))
     # as many rows as the sample's bound, however many there are in the table
-    found = rows.mapInArrow(cut, "doc_id long, place int, passage binary").orderBy("doc_id", "place", "passage").limit(2 * docs * bag).toArrow()
+    found = in_arrow(rows, cut, "doc_id long, place int, passage binary").orderBy("doc_id", "place", "passage").limit(2 * docs * bag).toArrow()
     if not found.num_rows:
         return np.empty((0, BUCKETS), np.float32), np.empty(0, np.int64), np.empty(0)
     passages = found["passage"].to_pylist()
@@ -182,5 +182,5 @@ def quality_scores(documents: DataFrame, labels: DataFrame, cut: float = CUT) ->
                 found = score(shared.value, part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
-    rows = only(documents, doc_id="long", text="string").mapInArrow(task, "doc_id long, score double")
+    rows = in_arrow(only(documents, doc_id="long", text="string"), task, "doc_id long, score double")
     return rows.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import only, slices
+from siftlake.llm.common import in_arrow, only, slices
 from siftlake.session import checkpointed, scratch_path
 
 SEGMENTS, DISTANCE, SHINGLE, CROWD = 8, 2, 3, 64
@@ -64,7 +64,7 @@ def with_fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(fps, pa.int64())], names=["doc_id", "text_hash", "fp"])
 
     rows = only(documents, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(task, "doc_id long, text_hash long, fp long")
+    return in_arrow(rows, task, "doc_id long, text_hash long, fp long")
 
 
 def budgets(segments: int = SEGMENTS, distance: int = DISTANCE) -> list[int]:

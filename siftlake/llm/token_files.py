@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import filesystem, only, slices
+from siftlake.llm.common import filesystem, in_arrow, only, slices
 from siftlake.llm.word_cache import encoder
 from siftlake.session import scratch_path
 
@@ -140,7 +140,7 @@ def write_token_files(documents: DataFrame, folder: str, vocabulary: str, end_id
     fs, path = filesystem(folder)
     fs.create_dir(path, recursive=True)
     ordered = only(documents, doc_id="long", text="string").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
+    in_arrow(ordered, write, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
 
@@ -155,7 +155,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     # one row per file: the frame is as long as the list of files
     before = F.sum("tokens").over(Window.orderBy("ordinal")) - F.col("tokens")
     files = manifest.select("ordinal", "file", before.alias("before"))
-    return files.repartition(max(1, manifest.count())).mapInArrow(read, DOCUMENTS)
+    return in_arrow(files.repartition(max(1, manifest.count())), read, DOCUMENTS)
 
 
 def read_file(uri: str, ordinal: int, before: int) -> Iterator[pa.RecordBatch]:

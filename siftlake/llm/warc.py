@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import filesystem, only, slices
+from siftlake.llm.common import filesystem, in_arrow, only, slices
 from siftlake.session import scratch_path
 
 ENTRIES = "key long, file string, offset long, size long, record_id string, refers_to string, kind string"
@@ -105,7 +105,7 @@ def write_derivatives(responses: DataFrame, folder: str) -> DataFrame:
     fs, path = filesystem(folder)
     fs.create_dir(path, recursive=True)
     rows = only(responses, key="long", record_id="string", target_uri="string", date="string", headers="map<string,string>", payload="string")
-    rows.mapInArrow(write, ENTRIES).write.parquet(f"{folder}/index")
+    in_arrow(rows, write, ENTRIES).write.parquet(f"{folder}/index")
     return spark.read.parquet(f"{folder}/index")
 
 
@@ -137,7 +137,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 ("key", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("size", pa.int64()),
                 *[(c, pa.string()) for c in ("record_id", "refers_to", "kind", "target_uri", "date", "block_digest", "payload_digest", "block")]]))
 
-    return index.mapInArrow(read, RECORDS)
+    return in_arrow(index, read, RECORDS)
 
 
 def responses_of(pages: DataFrame, date: str) -> DataFrame:
