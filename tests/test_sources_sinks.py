@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import NOW
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from siftlake import refine
 from siftlake.session import scratch_path
 from siftlake.sinks.files import show_in_memory, write_dlq, write_refined
-from siftlake.sinks.table import create_table, insert_if_absent, jdbc_statements
+from siftlake.sinks.table import compact_table, create_table, insert_if_absent, jdbc_statements, stored_ids
 from siftlake.sources.kafka import kafka_options, kafka_to_raw, malformed_records
 from siftlake.sources.landing import accept_envelopes, read_landing, reject_envelopes
 from siftlake.sources.merge import merge_sources
@@ -243,3 +244,50 @@ def test_a_stage_that_exists_is_refused(raw, tmp_path):
     with pytest.raises(Exception, match="already exists"):
         refine(raw([("bad", "s", "{}")]), NOW, stage_path=str(tmp_path / "mine"))
     assert (tmp_path / "mine" / "file").read_text() == "kept"
+
+
+def stored(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "event_id string")
+    return rows.selectExpr(
+        "event_id", "'s' AS source", "timestamp'2024-01-01' AS ingest_timestamp", "timestamp'2024-01-01' AS event_timestamp",
+        "'{}' AS payload", "1 AS version",
+    )
+
+
+def bucket_files(location):
+    return [f.name for f in Path(location.removeprefix("file:")).glob("part-*")]
+
+
+def test_an_insert_leaves_one_file_per_bucket_and_compaction_joins_them(spark):
+    table, location = "few_files", scratch_path(spark, "few")
+    create_table(spark, table, location, buckets=3)
+    for start in (0, 150, 300):
+        insert_if_absent(stored(spark, [f"id-{i:05d}" for i in range(start, start + 200)]).repartition(4), table)
+    assert len(bucket_files(location)) == 9 and spark.table(table).count() == 500
+    whole = scratch_path(spark, "whole")
+    compact_table(spark, table, "one_file_each", whole, buckets=3)
+    assert len(bucket_files(whole)) == 3
+    assert spark.table("one_file_each").exceptAll(spark.table(table)).isEmpty() and spark.table("one_file_each").count() == 500
+    insert_if_absent(stored(spark, ["id-00007", "new"]), "one_file_each")
+    assert spark.table("one_file_each").count() == 501
+    with pytest.raises(ValueError, match="exists"):
+        compact_table(spark, table, "one_file_each")
+    for name in (table, "one_file_each"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_the_stored_side_is_neither_shuffled_nor_read_outside_the_range_of_ids(spark):
+    create_table(spark, "in_range", scratch_path(spark, "range"), buckets=3)
+    insert_if_absent(stored(spark, ["a", "m", "z"]), "in_range")
+    plan = stored_ids(stored(spark, ["m", "n"]), "in_range", "m", "n")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "GreaterThanOrEqual(event_id,m)" in scan and "LessThanOrEqual(event_id,n)" in scan and "Bucketed: true" in scan
+    assert plan.count("Exchange hashpartitioning") == 1  # the incoming side's
+    spark.sql("DROP TABLE in_range")
+
+
+def test_inserting_nothing_changes_nothing(spark):
+    create_table(spark, "nothing_new", scratch_path(spark, "nothing"), buckets=2)
+    insert_if_absent(stored(spark, ["a"]).limit(0), "nothing_new")
+    assert spark.table("nothing_new").count() == 0
+    spark.sql("DROP TABLE nothing_new")
