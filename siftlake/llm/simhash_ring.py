@@ -135,7 +135,10 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def classes(documents: DataFrame, shingle: int = SHINGLE, segments: int = SEGMENTS, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
-    """Per document: doc_id, text_hash, fp, component_id (the least doc_id reachable, its own included)."""
+    """Per document: doc_id, text_hash, fp, root (the least fingerprint of its class), component_id (the class's least doc_id).
+
+    Only the root tells classes apart: ids can be null in all of a class, or lie in several classes.
+    """
     spark = documents.sparkSession
     folder = scratch_path(spark, "simhash")
     with_fingerprints(documents, shingle).write.parquet(f"{folder}/documents")
@@ -145,7 +148,7 @@ def classes(documents: DataFrame, shingle: int = SHINGLE, segments: int = SEGMEN
     roots = components(links(distinct.select("fp"), segments, distance, crowd))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return docs.join(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "text_hash", "fp", "component_id")
+    return docs.join(rooted.select("fp", "root").join(ids, "root"), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -156,7 +159,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def keep_one(documents: DataFrame) -> DataFrame:
     """The documents, one of each class: its least doc_id, of equal ids the least text hash, of equal rows one."""
     rows = classes(documents)
-    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("kept"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("kept"))
     first = first.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_hash")).distinct()
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
     own = documents.select(whole.alias("_row"), F.col("doc_id").cast("long").alias("_kept_id"), F.xxhash64(F.col("text").cast("string")).alias("_kept_hash"))

@@ -158,6 +158,15 @@ def test_one_of_each_class_stays(spark):
     assert sorted((r["doc_id"] or 0, r["_place"]) for r in kept.collect()) == [(0, None), (2, "y"), (7, "z")]
 
 
+def test_classes_are_told_apart_by_their_texts(spark):
+    rows = [(None, "a b c d"), (None, "other words here"), (None, "a b c d"), (2, "first text of two"), (2, "quite another one"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in simhash_ring.keep_one(df).collect()]
+    assert len(kept) == 5 and set(kept) == set(rows)
+    found = simhash_ring.near_duplicates(df).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in found) == [(0, 0)] * 4 + [(2, 2)] * 2
+
+
 def brute_rules(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
