@@ -6,11 +6,12 @@ documents and one over the whole raw corpus, divided by the number of its n-gram
 at least ``THRESHOLD``. Tokens are runs of letters, digits and underscores, or of other marks; n-grams are
 single tokens and pairs of neighbours, hashed into ``BUCKETS``.
 
-Both multinomials are counts over all their documents. Only the weights per bucket, of fixed number, pass
-through the driver. Without a trusted document every ratio is zero.
+Both multinomials are counts over all their documents, each distinct text once however many rows hold it, so
+that no text is marked down for being copied; it is trusted if one of its rows is. Only the weights per bucket,
+of fixed number, pass through the driver. Without a trusted document every ratio is zero.
 
 A null or empty text has no words and fails the base rules; null ids are documents that are never trusted;
-repeated rows are rows of their own and count each; an empty table gives no rows.
+repeated rows are rows of their own and are judged each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlake.functions.plan import fence
+from siftlake.session import checkpointed
 
 BUCKETS, SMOOTHING, THRESHOLD = 1 << 16, 1.0, -0.4
-#: Trusted ids that are sent to every executor, 16 MB or so; above it the documents are shuffled to them.
+#: Trusted ids, and trusted or repeated texts, that are sent to every executor, 16 MB or so; above it the documents are shuffled to them.
 TRUSTED_ROWS = 1_000_000
 BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -45,14 +47,27 @@ def bucketed(documents: DataFrame, *keep: str) -> DataFrame:
     return fence(rows.select(*keep, grams.alias("grams")), "grams")
 
 
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= TRUSTED_ROWS else df
+
+
+def text_facts(documents: DataFrame, trusted: DataFrame) -> DataFrame:
+    """text_hash, copies (rows), trusted (1 or null) of the texts that are trusted or in several rows."""
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    marked = rows.join(_few(ids).withColumn("trusted", F.lit(1)), "doc_id", "left")
+    facts = marked.groupBy("text_hash").agg(F.count("*").alias("copies"), F.max("trusted").alias("trusted"))
+    return checkpointed(facts.filter("copies > 1 OR trusted = 1"))
+
+
 def weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
     """Per bucket, the logarithm of its trusted over its raw probability. ``trusted``: doc_id."""
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
-    ids = F.broadcast(ids) if ids.count() <= TRUSTED_ROWS else ids
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = rows.join(ids.withColumn("trusted", F.lit(1)), "doc_id", "left")
-    each = bucketed(marked, "trusted").select("trusted", F.explode("grams").alias("bucket"))
-    counts = each.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
+    rows = documents.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    marked = rows.join(_few(text_facts(documents, trusted)), "text_hash", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    each = bucketed(marked, "copies", "trusted").select("copies", "trusted", F.explode("grams").alias("bucket"))
+    # All rows of texts with the same number of copies count together, so that number divides the counts.
+    counts = each.groupBy("bucket", "copies").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
+    counts = counts.groupBy("bucket").agg(F.expr("sum(raw div copies)").alias("raw"), F.expr("sum(target div copies)").alias("target"))
     raw, target = [0] * BUCKETS, [0] * BUCKETS
     for row in counts.collect():  # BUCKETS rows at most
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]

@@ -210,3 +210,20 @@ def test_ratio_is_the_two_multinomials(spark):
     got = {r["doc_id"]: r["score"] for r in quality_rules.rule_report(df, trusted).collect()}
     for i, t in docs:
         assert got[i] == pytest.approx(np.mean([weight(x) for x in grams(t)]))
+
+
+def test_copies_do_not_mark_a_text_down(spark):
+    rows = [(i, t) for i, t, _ in corpus(60)]
+    copied = corpus(61)[60][1]
+    df = spark.createDataFrame([*rows, *[(1000 + i, copied) for i in range(300)]], "doc_id long, text string")
+    trusted = spark.createDataFrame([(i,) for i in range(60)], "doc_id long")
+    got = {r["doc_id"]: r for r in quality_rules.rule_report(df, trusted).collect()}
+    assert len(got) == 360 and all(got[1000 + i]["kept"] for i in range(300))
+    once = spark.createDataFrame([*rows, (1000, copied)], df.schema)
+    single = {r["doc_id"]: r["score"] for r in quality_rules.rule_report(once, trusted).collect()}
+    assert all(got[i]["score"] == pytest.approx(s) for i, s in single.items())
+    # trusted through one of its copies: each text once on both sides
+    more = trusted.unionByName(spark.createDataFrame([(1007,)], "doc_id long"))
+    a = {r["doc_id"]: r["score"] for r in quality_rules.rule_report(df, more).collect()}
+    b = {r["doc_id"]: r["score"] for r in quality_rules.rule_report(once, trusted.unionByName(spark.createDataFrame([(1000,)], "doc_id long"))).collect()}
+    assert all(a[i] == pytest.approx(s) for i, s in b.items())
