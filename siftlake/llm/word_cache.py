@@ -25,27 +25,31 @@ _PIECES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[.,!?;:|#*$%&]+|\n")
 CHUNKS, PIECES = 500_000, 700_000
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_LETTERS = _byte_letters()
+_LETTERS = byte_letters()
 #: By number of ids, what packs them as little-endian unsigned 32-bit integers.
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 class CachedEncoder:
-    """``blank``: the vocabulary keeps a blank with the word after it; else white space and case are dropped."""
+    """``blank``: the vocabulary keeps a blank with the word after it; else white space and case are dropped.
 
-    def __init__(self, path: str, blank: bool):
+    ``plain``: the strings of added tokens are ordinary text; else they get their ids, as the library does.
+    """
+
+    def __init__(self, path: str, blank: bool, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
         self.model, self.blank = self.tokenizer.model, blank
+        self.added = () if plain else tuple(x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values())
         self.chunks: dict[str, bytes | None] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -64,12 +68,14 @@ class CachedEncoder:
             self.pieces[piece] = ids
         return ids
 
-    def _chunk(self, chunk: str, before: str) -> bytes | None:
-        """Ids of a chunk, None where the cut before or after it is not safe."""
+    def chunk(self, chunk: str, before: str) -> bytes | None:
+        """Ids of a chunk, None where the cut before or after it is not safe or the chunk holds an added token."""
         if self.blank and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
             return None
         if chunk.isascii() and chunk.isalpha():
             return self._piece(before + chunk if self.blank else chunk.lower())
+        if any(x in chunk.lower() for x in self.added):
+            return None
         found = _PIECES.findall(chunk)
         if sum(map(len, found)) != len(chunk) or "\n\n" in chunk:
             return self.whole(before + chunk)
@@ -87,9 +93,9 @@ class CachedEncoder:
         known, blank = self.chunks, " " if self.blank else ""
         for chunk in chunks.distinct:
             if chunk not in known:
-                known[chunk] = self._chunk(chunk, blank)
+                known[chunk] = self.chunk(chunk, blank)
         ids = [known[chunk] for chunk in chunks.distinct]
-        ids += [self._chunk(chunk, "") for chunk in chunks.leading] if self.blank else [known[x] for x in chunks.leading]
+        ids += [self.chunk(chunk, "") for chunk in chunks.leading] if self.blank else [known[x] for x in chunks.leading]
         unsafe = [x is None for x in ids]
         out = chunks.join([x or b"" for x in ids])
         for row in chunks.rows_with(unsafe):
@@ -97,11 +103,16 @@ class CachedEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, bool], CachedEncoder] = {}
+_ENCODERS: dict[tuple[str, bool, bool], CachedEncoder] = {}
 
 
-def encoder(path: str, blank: bool) -> CachedEncoder:
+def encoder(path: str, blank: bool, plain: bool = False) -> CachedEncoder:
     """The worker's encoder for a vocabulary file; it outlives the task where Spark reuses the worker."""
-    if (path, blank) not in _ENCODERS:
-        _ENCODERS[path, blank] = CachedEncoder(path, blank)
-    return _ENCODERS[path, blank]
+    if (path, blank, plain) not in _ENCODERS:
+        _ENCODERS[path, blank, plain] = CachedEncoder(path, blank, plain)
+    return _ENCODERS[path, blank, plain]
+
+
+def plain_encoder(path: str) -> CachedEncoder:
+    """For a byte-level vocabulary, with added tokens' strings as ordinary text."""
+    return encoder(path, True, True)

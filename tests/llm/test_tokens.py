@@ -25,9 +25,22 @@ def documents(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, ids_crc32 string, start int").repartition(3)
 
 
+SPECIAL = ["plain <|endoftext|> x", "<|startoftext|>a<|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|>!", "a<|endoftext|> b\n<|endoftext|>\n", "<|endoftext|>" * 3, " <|endoftext|> "]
+
+
+def test_added_tokens_as_the_library_takes_them(spark):
+    rows = [(i, x, 0) for i, x in enumerate([*SPECIAL, *TEXTS[:3]])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, start int")
+    for path, end, found in ((BYTE, 2, token_files.token_digests(df, BYTE, 2)), (WORD, 1, packing.pack(df, WORD, 1).filter("start = 0"))):
+        encode, got = library(path), {r["doc_id"]: r for r in found.collect()}
+        for i, text, _ in rows:
+            ids = encode(text, end)
+            size = got[i]["n_tokens"] if path == BYTE else got[i]["doc_tokens"]
+            assert size == len(ids) and got[i]["ids_crc32"] == zlib.crc32(ids[:got[i]["n_tokens" if path == BYTE else "length"]].tobytes())
+
+
 def library(path):
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
     return lambda text, end: np.array([*found.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
