@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlake.llm import byte_bpe, language_id, packing, permutation_index, quality_mil, quality_rules, simhash_ring, token_files, url_filter, warc
+from siftlake.llm import (
+    byte_bpe, hard_negatives, language_id, packing, permutation_index, quality_mil, quality_rules, simhash_ring, token_alignment, token_files, url_filter, warc,
+)
 from siftlake.llm.common import table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_OF_DOCUMENT, END_OF_PACKED = 2, 1
 #: The pages have no date of their own.
 CAPTURED = "1970-01-01T00:00:00Z"
@@ -69,11 +72,20 @@ def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, shifted)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (op1_token_files, op2_packing, op3_byte_bpe, op4_permutation_index, op5_url_filter, op6_warc_derivatives,
-           op7_language_id, op8_simhash_ring, op9_quality_rules, op10_quality_mil)
+           op7_language_id, op8_simhash_ring, op9_quality_rules, op10_quality_mil, op11_token_alignment, op12_hard_negatives)
     return {**{f.__name__: f for f in own}, "pipeline": corpus_pipeline.run}
 
 
