@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.llm import (
-    byte_bpe, hard_negatives, language_id, packing, permutation_index, quality_mil, quality_rules, simhash_ring, token_alignment, token_files, url_filter, warc,
+    byte_bpe, hard_negatives, html_consensus, language_id, packing, permutation_index, quality_mil, quality_rules, simhash_ring, token_alignment, token_files, url_filter, warc,
 )
 from siftlake.llm.common import table
 
@@ -81,11 +81,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, shifted)
 
 
+def op13_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.extract(table(spark, sf_dir, "pages"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (op1_token_files, op2_packing, op3_byte_bpe, op4_permutation_index, op5_url_filter, op6_warc_derivatives,
-           op7_language_id, op8_simhash_ring, op9_quality_rules, op10_quality_mil, op11_token_alignment, op12_hard_negatives)
+           op7_language_id, op8_simhash_ring, op9_quality_rules, op10_quality_mil, op11_token_alignment, op12_hard_negatives, op13_html_consensus)
     return {**{f.__name__: f for f in own}, "pipeline": corpus_pipeline.run}
 
 
