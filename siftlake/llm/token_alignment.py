@@ -21,10 +21,11 @@ import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +34,12 @@ from siftlake.llm.common import Chunks, in_arrow, only, slices
 from siftlake.llm.word_cache import byte_letters, plain_encoder
 from siftlake.session import scratch_path, ship_package
 
-#: Ends of the shorter list that are searched for at once.
-RUN = 2_048
+#: Ends of the shorter list in a run; runs are searched side by side.
+STEPS = 128
 #: Distinct chunks that a worker keeps the ids of; some 300 bytes each.
-CHUNKS = 250_000
+CHUNKS = 300_000
 #: Bytes of text in a slice.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_000_000
 ALIGNED = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, places binary, "
            "pairs array<long>, counts array<long>")
 REPORT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -47,24 +48,30 @@ GROUPS = "doc_id long, a_ids array<int>, b_ids array<int>, groups array<struct<a
 SHIFT = 32
 
 
-def gallop(short: np.ndarray, long: np.ndarray, run: int = RUN) -> np.ndarray:
-    """For each value of ``short`` the number of values of ``long`` below it. Both ascend; ``long`` ends no lower."""
-    ranks, at = np.empty(len(short), np.int64), 0
-    for start in range(0, len(short), run):
-        wanted = short[start:start + run]
-        low, high = np.full(len(wanted), at), np.full(len(wanted), at)
-        behind, step = np.flatnonzero(long[high] < wanted), 1
+def gallop(short: np.ndarray, long: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """For each value of ``short`` the number of values of ``long`` below it. Both ascend; ``long`` ends no lower.
+
+    ``short`` is cut into runs of ``steps`` values that advance side by side, each from where its last search ended.
+    """
+    runs = -(-len(short) // steps)
+    padded = np.concatenate([short, np.full(runs * steps - len(short), long[-1])])
+    ranks, high = np.empty((steps, runs), np.int64), np.zeros(runs, np.int64)
+    for at, wanted in enumerate(np.ascontiguousarray(padded.reshape(runs, steps).T)):
+        low, step = high.copy(), 1
+        behind = np.flatnonzero(long[high] < wanted)
         while len(behind):
             low[behind] = high[behind] + 1
             high[behind] = np.minimum(high[behind] + step, len(long) - 1)
             behind, step = behind[long[high[behind]] < wanted[behind]], step * 2
-        while (low < high).any():
-            middle = (low + high) // 2
-            below = long[middle] < wanted
-            low, high = np.where(below, middle + 1, low), np.where(below, high, middle)
-        ranks[start:start + run] = low
-        at = int(low[-1])
-    return ranks
+        between = np.flatnonzero(low < high)
+        while len(between):
+            middle = (low[between] + high[between]) // 2
+            below = long[middle] < wanted[between]
+            low[between[below]] = middle[below] + 1
+            high[between[~below]] = middle[~below]
+            between = between[low[between] < high[between]]
+        ranks[at] = high
+    return ranks.T.reshape(-1)[:len(short)]
 
 
 @dataclass
@@ -108,6 +115,7 @@ class PairedEncoder:
         for piece, number in known.items():
             self.a_bytes[number] = bytes(letters[x] for x in piece) if all(x in letters for x in piece) else b""
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.a_pieces, self.b_pieces = (pa.array(x, pa.large_binary()) for x in (self.a_bytes, self.b_bytes))
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in xs], np.int64) for xs in (self.a_bytes, self.b_bytes))
         self.chunks: dict[str, tuple[bytes, bytes] | None] = {}
         self.printed = pa.array([b"%d%s" % (i, mark) for size, marks in ((len(self.a_bytes), (b",", b"|")), (len(self.b_bytes), (b",", b";")))
@@ -120,29 +128,44 @@ class PairedEncoder:
             return b""
         return self.b.id_to_piece(number).replace("▁", " ").encode()
 
-    def _checked(self, wanted: bytes, a: bytes, b: list[int]) -> tuple[bytes, bytes] | None:
-        """Both as little-endian unsigned 32-bit ids, None if one of them has other bytes."""
-        numbers = np.frombuffer(a, "<u4").tolist()
-        if b"".join([self.a_bytes[i] for i in numbers]) != wanted or b"".join([self.b_bytes[i] for i in b]) != wanted:
-            return None
-        return a, np.array(b, "<u4").tobytes()
-
     def whole(self, text: str) -> tuple[bytes, bytes]:
         """Ids by the two libraries alone; none for a text that has no tokens."""
         spaced = " " + text
-        return text and self._checked(spaced.encode(), self.a.whole(spaced), self.b.encode(text)) or (b"", b"")
+        a, b = self.a.whole(spaced), np.array(self.b.encode(text), "<u4").tobytes()
+        return (a, b) if text and self._given_back([spaced], [a], [b])[0] else (b"", b"")
+
+    def _given_back(self, texts: list[str], *sides: list[bytes]) -> np.ndarray:
+        """Whether the ids of every side have a text's bytes, for each text."""
+        wanted = pa.array(texts, pa.large_string()).cast(pa.large_binary())
+        fine = np.ones(len(texts), bool)
+        for ids, pieces in zip(sides, (self.a_pieces, self.b_pieces), strict=True):
+            flat = pa.array(np.frombuffer(b"".join(ids), "<u4"))
+            cuts = np.cumsum([0, *[len(x) // 4 for x in ids]])
+            _, offsets, data = pieces.take(flat).buffers()
+            ends = pa.array(np.frombuffer(offsets, np.int64)[:len(flat) + 1][cuts])
+            given = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, ends.buffers()[1], data if data is not None else pa.py_buffer(b"")])
+            fine &= pc.equal(given, wanted).to_numpy(zero_copy_only=False)
+        return fine
+
+    def _learn(self, chunks: list[str]) -> None:
+        b = self.b.encode(chunks)
+        flat = np.fromiter(chain.from_iterable(b), "<u4").tobytes()
+        cuts = np.cumsum([0, *[4 * len(x) for x in b]]).tolist()
+        b = [flat[i:j] for i, j in pairwise(cuts)]
+        a = [self.a.chunk(chunk, " ") for chunk in chunks]
+        fine = self._given_back([" " + x for x in chunks], [x or b"" for x in a], b).tolist()
+        self.chunks.update((c, (x, y) if ok and x is not None else None) for c, x, y, ok in zip(chunks, a, b, fine, strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[list[bytes], list[bytes]]:
         """Per text the ids of both. Neither tokenizer joins a blank to what is before it: chunks are cut there."""
         chunks = Chunks(texts)
+        every = [*chunks.distinct, *chunks.leading]
         if len(self.chunks) > CHUNKS:
             self.chunks.clear()
         known = self.chunks
-        new = list(dict.fromkeys(c for c in [*chunks.distinct, *chunks.leading] if c not in known))
-        for chunk, b in zip(new, self.b.encode(new), strict=True):
-            a = self.a.chunk(chunk, " ")
-            known[chunk] = None if a is None else self._checked((" " + chunk).encode(), a, b)
-        ids = [known[c] for c in [*chunks.distinct, *chunks.leading]]
+        if new := [c for c in dict.fromkeys(every) if c not in known]:
+            self._learn(new)
+        ids = [known[c] for c in every]
         sides = [chunks.join([x[i] if x else b"" for x in ids]) for i in (0, 1)]
         for row in chunks.rows_with([x is None for x in ids]):
             sides[0][row], sides[1][row] = self.whole(texts[row].as_py() or "")

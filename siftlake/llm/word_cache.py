@@ -74,7 +74,7 @@ class CachedEncoder:
             return None
         if chunk.isascii() and chunk.isalpha():
             return self._piece(before + chunk if self.blank else chunk.lower())
-        if any(x in chunk.lower() for x in self.added):
+        if self.added and any(x in chunk.lower() for x in self.added):
             return None
         found = _PIECES.findall(chunk)
         if sum(map(len, found)) != len(chunk) or "\n\n" in chunk:

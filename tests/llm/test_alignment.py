@@ -98,13 +98,13 @@ def test_groups_give_the_text_back(spark, libraries):
         assert at == (len(a), len(b))
 
 
-@pytest.mark.parametrize("run", [1, 2, 7, 4096])
-def test_gallop_ranks(run):
-    rng = np.random.default_rng(run)
+@pytest.mark.parametrize("steps", [1, 2, 7, 4096])
+def test_gallop_ranks(steps):
+    rng = np.random.default_rng(steps)
     for sizes in ((1, 1), (3, 500), (200, 210), (40, 4000)):
         long = np.cumsum(rng.integers(1, 9, sizes[1]))
         short = np.unique(np.append(rng.integers(1, long[-1] + 1, sizes[0] - 1), long[-1]))
-        assert gallop(short, long, run).tolist() == np.searchsorted(long, short).tolist()
+        assert gallop(short, long, steps).tolist() == np.searchsorted(long, short).tolist()
 
 
 def test_links_are_the_overlapping_ranges():
