@@ -30,21 +30,31 @@ SYMBOLS = "#*$%&|<>"
 TOKEN = r"[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_\s]+"
 
 
-def ngrams(text: Column, buckets: int = BUCKETS) -> tuple[Column, Column]:
-    """Tokens, and from a column ``tokens`` of them the bucket of each token and each pair."""
-    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
-    t = F.col("tokens")
-    pairs = F.arrays_zip(t.alias("a"), F.slice(t, 2, F.greatest(F.size(t), F.lit(1))).alias("b"))
-    bucket = F.transform(pairs, lambda x: F.pmod(F.xxhash64(x["a"], x["b"]), F.lit(buckets)).cast("int"))
-    single = F.transform(t, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
-    return tokens, F.concat(single, F.slice(bucket, 1, F.greatest(F.size(t) - 1, F.lit(0))))
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+
+
+def hashed(strings: Column) -> Column:
+    """The hash of each string: what follows works on plain longs."""
+    return F.transform(strings, lambda x: F.xxhash64(x))
+
+
+def runs(hashes: Column, length: int) -> Column:
+    """A hash of each run of ``length`` neighbours."""
+    each = F.transform(hashes, lambda x, i: F.xxhash64(x, *[F.get(hashes, i + k) for k in range(1, length)]))
+    return F.slice(each, 1, F.greatest(F.size(hashes) - (length - 1), F.lit(0)))
+
+
+def bucket(value: Column) -> Column:
+    return F.pmod(value, F.lit(BUCKETS)).cast("int")
 
 
 def bucketed(documents: DataFrame, *keep: str) -> DataFrame:
-    """The columns ``keep`` and ``grams``, the buckets of a document's n-grams."""
-    tokens, grams = ngrams(F.col("text"))
-    rows = fence(documents.select(*keep, tokens.alias("tokens")), "tokens")
-    return fence(rows.select(*keep, grams.alias("grams")), "grams")
+    """The columns ``keep`` and ``bucket``, a row for each token and each pair of neighbours."""
+    rows = fence(documents.select(*keep, hashed(tokens(F.col("text"))).alias("hashes")), "hashes")
+    rows = fence(rows.select(*keep, F.concat("hashes", runs(F.col("hashes"), 2)).alias("grams")), "grams")
+    rows = rows.select(*keep, F.explode("grams").alias("gram"))
+    return rows.select(*keep, bucket(F.col("gram")).alias("bucket"))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -64,7 +74,7 @@ def weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
     """Per bucket, the logarithm of its trusted over its raw probability. ``trusted``: doc_id."""
     rows = documents.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     marked = rows.join(_few(text_facts(documents, trusted)), "text_hash", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
-    each = bucketed(marked, "copies", "trusted").select("copies", "trusted", F.explode("grams").alias("bucket"))
+    each = bucketed(marked, "copies", "trusted")
     # All rows of texts with the same number of copies count together, so that number divides the counts.
     counts = each.groupBy("bucket", "copies").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     counts = counts.groupBy("bucket").agg(F.expr("sum(raw div copies)").alias("raw"), F.expr("sum(target div copies)").alias("target"))
@@ -79,46 +89,46 @@ def weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
     return [log(t + SMOOTHING) - log(r + SMOOTHING) - base for t, r in zip(target, raw, strict=True)]
 
 
-def _repeat_words(hashes: Column) -> Column:
+def _repeat_words(windows: Column) -> Column:
     """From the sorted (hash, place) of all windows, the places of those that occur twice, sorted."""
-    size = F.size(hashes)
-    return F.filter(hashes, lambda x, i: ((i > 0) & (F.get(hashes, F.greatest(i - 1, F.lit(0)))["h"] == x["h"]))
-                    | ((i < size - 1) & (F.get(hashes, i + 1)["h"] == x["h"])))
+    size = F.size(windows)
+    return F.filter(windows, lambda x, i: ((i > 0) & (F.get(windows, F.greatest(i - 1, F.lit(0)))["h"] == x["h"]))
+                    | ((i < size - 1) & (F.get(windows, i + 1)["h"] == x["h"])))
 
 
-def judged(documents: DataFrame, bucket_weights: list[float], threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with a struct ``_rules``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept."""
+def _score(hashes: Column, bucket_weights: list[float]) -> Column:
+    """The mean weight of the tokens and pairs whose tokens have these hashes."""
+    literal = F.split(F.lit(",".join(map(repr, bucket_weights))), ",").cast("array<double>")
+    pair = lambda x, i: F.when(i > 0, F.get(literal, bucket(F.xxhash64(F.get(hashes, i - 1), x)))).otherwise(F.lit(0.0))
+    each = F.transform(hashes, lambda x, i: F.get(literal, bucket(x)) + pair(x, i))
+    return F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / F.greatest(2 * F.size(hashes) - 1, F.lit(1))
+
+
+def judged(documents: DataFrame, bucket_weights: list[float]) -> DataFrame:
+    """The documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score."""
     own = documents.columns
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     df = documents.select("*", text.alias("_text"))
     trimmed = F.btrim(F.col("_text"), F.lit(BLANK))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \\t\\n\\x0B\\f\\r]+"))
     worded = F.filter(F.split(F.col("_text"), "\n"), lambda x: x.rlike("[^ \\t\\n\\x0B\\f\\r]"))
-    tokens, grams = ngrams(F.col("_text"))
-    df = fence(df.select("*", words.alias("_words"), worded.alias("_lines"), tokens.alias("tokens")), "_words", "_lines", "tokens")
-
-    w = F.col("_words")
-    n = F.size(w)
-    triples = F.arrays_zip(w.alias("a"), F.slice(w, 2, F.greatest(n, F.lit(1))).alias("b"), F.slice(w, 3, F.greatest(n, F.lit(1))).alias("c"))
-    hashes = F.slice(F.transform(triples, lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("i"))), 1, F.greatest(n - 2, F.lit(0)))
-    literal = F.split(F.lit(",".join(map(repr, bucket_weights))), ",").cast("array<double>")
-    total = F.aggregate(F.col("_grams"), F.lit(0.0), lambda a, x: a + F.get(literal, x))
-    df = fence(df.select(*[F.col(f"`{c}`") for c in (*own, "_text", "_lines")], n.cast("long").alias("_n"),
-                         hashes.alias("_windows"), grams.alias("_grams")), "_windows", "_grams", "_n")
-    repeats = F.size(F.array_distinct(F.transform("_windows", lambda x: x["h"]))) < F.size("_windows")
-    df = fence(df.select("*", F.when(repeats, F.sort_array("_windows")).alias("_sorted")), "_sorted")
+    df = fence(df.select("*", words.alias("_words"), worded.alias("_lines"), hashed(tokens(F.col("_text"))).alias("_tokens")), "_words", "_lines", "_tokens")
+    kept = [F.col(f"`{c}`") for c in own] + [
+        F.size("_words").cast("long").alias("_n"), F.length(F.array_join("_words", "")).cast("long").alias("_chars"),
+        (F.size(F.split("_text", f"[{SYMBOLS}]")) - 1).cast("long").alias("_symbols"), (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("_dup")]
+    df = fence(df.select(*kept, "_tokens", hashed(F.col("_words")).alias("_words")), "_words")
+    kept = [F.col(f"`{c}`") for c in (*own, "_n", "_chars", "_symbols", "_dup")]
+    df = fence(df.select(*kept, runs(F.col("_words"), 3).alias("_windows"), _score(F.col("_tokens"), bucket_weights).alias("_score")), "_windows", "_score")
+    # Only a text that repeats a window needs the windows' places.
+    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    placed = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    df = fence(df.select("*", F.when(repeats, placed).alias("_sorted")), "_sorted")
     df = fence(df.select("*", F.when(F.col("_sorted").isNotNull(), F.sort_array(F.transform(_repeat_words(F.col("_sorted")), lambda x: x["i"]))).alias("_places")), "_places")
     covered = F.aggregate("_places", F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
                           lambda a, x: F.struct(x.alias("last"), (a["n"] + F.least(F.lit(3), x - a["last"])).alias("n")), lambda a: a["n"])
-    size = F.length("_text")
-    rules = df.select(
-        *[F.col(f"`{c}`") for c in own], F.col("_n").alias("n_words"),
-        F.length(F.translate(F.col("_text"), BLANK, "")).cast("long").alias("word_chars"),
-        (size - F.length(F.translate(F.col("_text"), SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        (total / F.greatest(F.size("_grams"), F.lit(1))).alias("score"))
-    return rules
+    return df.select(
+        *[F.col(f"`{c}`") for c in own], F.col("_n").alias("n_words"), F.col("_chars").alias("word_chars"), F.col("_symbols").alias("n_symbols"),
+        F.col("_dup").alias("n_dup_lines"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), F.col("_score").alias("score"))
 
 
 def _named(documents: DataFrame) -> DataFrame:

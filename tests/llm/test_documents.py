@@ -201,7 +201,8 @@ def test_ratio_is_the_two_multinomials(spark):
     def grams(text):
         t = text.split()
         hashes = [xxhash.xxh64_intdigest(x, 42) for x in t]
-        hashes += [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)) for a, b in zip(t, t[1:], strict=False)]
+        as_bytes = [x.to_bytes(8, "little") for x in hashes]
+        hashes += [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)) for a, b in zip(as_bytes, as_bytes[1:], strict=False)]
         return [int(np.uint64(h).astype(np.int64)) % quality_rules.BUCKETS for h in hashes]
 
     raw, target = Counter(x for _, t in docs for x in grams(t)), Counter(grams(docs[0][1]))
