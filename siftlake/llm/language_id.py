@@ -3,8 +3,9 @@
 A text's UTF-8 bytes are cut into windows of ``WINDOW`` that cover all of it; windows of many texts run side by
 side. One recurrent layer reads each window forwards and one backwards, a softmax over both states labels every
 byte, and a text's probabilities are the mean over all its bytes. Training is numpy backpropagation through
-time on a bounded sample: ``DOCS`` texts a language with the smallest hash of their id (for at most ``LANGUAGES``
-languages, the most frequent ones), ``WINDOWS`` windows spread over the whole of each.
+time on a bounded sample: ``DOCS`` ids a language, those with the smallest hash, with one text each, the one of
+the smallest hash (for at most ``LANGUAGES`` languages, the most frequent ones), and ``WINDOWS`` windows spread
+over the whole of each. An id whose rows name several languages is not learnt from.
 
 A null text or one without a letter is ``und`` with score 0, as is every text if there was nothing to learn from;
 an empty table gives no rows; repeated rows are rows of their own; equal probabilities go to the language first
@@ -162,9 +163,11 @@ def sample(documents: DataFrame, docs: int = DOCS, per_doc: int = WINDOWS) -> tu
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     names = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    ids = rows.select("doc_id", "lang").filter(F.col("lang").isin(names))
+    # One row an id, however many rows hold it; an id under several languages names none and is left out.
+    ids = rows.groupBy("doc_id").agg(F.min("lang").alias("lang"), F.max("lang").alias("other"), F.min(F.xxhash64("text")).alias("text_hash"))
+    ids = ids.filter((F.col("lang") == F.col("other")) & F.col("lang").isin(names))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = [r["doc_id"] for r in ids.select("doc_id", "lang", rank.alias("rank")).filter(F.col("rank") <= docs).collect()]
+    chosen = [(r["doc_id"], r["text_hash"]) for r in ids.select("doc_id", "text_hash", rank.alias("rank")).filter(F.col("rank") <= docs).collect()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,9 +181,10 @@ def sample(documents: DataFrame, docs: int = DOCS, per_doc: int = WINDOWS) -> tu
                     "doc_id": pa.array([x[0] for x in out], pa.int64()), "lang": pa.array([x[1] for x in out], pa.string()),
                     "place": pa.array([x[2] for x in out], pa.int32()), "codes": pa.array([x[3] for x in out], pa.list_(pa.int16()))})
 
-    picked = rows.filter(F.col("doc_id").isin(chosen)) if chosen else rows.limit(0)
-    # as many rows as the sample's bound, however many there are in the table
-    found = in_arrow(picked, cut, "doc_id long, lang string, place int, codes array<smallint>").orderBy("doc_id", "place", "lang", "codes").limit(docs * per_doc * len(names) + 1).toArrow()
+    # One text an id: that of the smallest hash. Equal rows are taken once, before their text is cut.
+    picked = rows.filter(F.col("doc_id").isin([i for i, _ in chosen]) & F.xxhash64("text").isin([h for _, h in chosen])) if chosen else rows.limit(0)
+    picked = picked.withColumn("text_hash", F.xxhash64("text")).groupBy("doc_id").agg(F.min_by(F.struct("lang", "text"), "text_hash").alias("x")).select("doc_id", "x.*")
+    found = in_arrow(picked, cut, "doc_id long, lang string, place int, codes array<smallint>").orderBy("doc_id", "place").toArrow()
     names = sorted(names)
     codes = np.array(found["codes"].to_pylist(), np.int16).reshape(-1, WINDOW)
     return codes, np.array([names.index(x) for x in found["lang"].to_pylist()], np.int64), names

@@ -4,7 +4,8 @@ A document is a bag of passages, every ``PASSAGE`` bytes of its text. A passage
 of its hashed byte-trigram shares by a tanh layer; gated attention, softmax(w (tanh(V h) * sigmoid(U h))) over
 the passages of the document, weighs the encodings; a logistic layer scores their weighted sum. All layers learn
 together from document labels alone, in numpy by backpropagation with Adam, on a bounded sample: ``DOCS`` labelled
-documents a class with the smallest hash of their id, ``BAG`` passages spread over the whole of each.
+ids a class, those with the smallest hash, with one text each, the one of the smallest hash, and ``BAG`` passages
+spread over the whole of it. An id with both labels is not learnt from.
 
 A null or empty text is one empty passage. Without documents of both classes to learn from, every score is 0.5.
 Null ids are scored and never learnt from; repeated rows are rows of their own; an empty table gives no rows.
@@ -136,7 +137,8 @@ def held_out(doc_id: Column) -> Column:
 def sample(documents: DataFrame, labels: DataFrame, docs: int = DOCS, bag: int = BAG) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Passages' features, the bag of each, and labels by bag, from labelled documents that are not held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    known = known.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).distinct()
+    known = known.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other")
     rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = {r["doc_id"]: r["quality"] for r in known.select("doc_id", "quality", rank.alias("rank")).filter(F.col("rank") <= docs).collect()}
     if len(set(chosen.values())) < 2:
@@ -154,8 +156,8 @@ def sample(documents: DataFrame, labels: DataFrame, docs: int = DOCS, bag: int =
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["doc_id", "place", "passage"])
 
     rows = only(documents, doc_id="long", text="string").filter(F.col("doc_id").isin(list(chosen)))
-    # as many rows as the sample's bound, however many there are in the table
-    found = in_arrow(rows, cut, "doc_id long, place int, passage binary").orderBy("doc_id", "place", "passage").limit(2 * docs * bag).toArrow()
+    rows = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one text an id, however many rows hold it
+    found = in_arrow(rows, cut, "doc_id long, place int, passage binary").orderBy("doc_id", "place").toArrow()
     if not found.num_rows:
         return np.empty((0, BUCKETS), np.float32), np.empty(0, np.int64), np.empty(0)
     passages = found["passage"].to_pylist()

@@ -228,3 +228,17 @@ def test_copies_do_not_mark_a_text_down(spark):
     a = {r["doc_id"]: r["score"] for r in quality_rules.rule_report(df, more).collect()}
     b = {r["doc_id"]: r["score"] for r in quality_rules.rule_report(once, trusted.unionByName(spark.createDataFrame([(1000,)], "doc_id long"))).collect()}
     assert all(a[i] == pytest.approx(s) for i, s in b.items())
+
+
+def test_one_id_in_most_rows_leaves_the_samples_whole(spark):
+    rows = [(i, t, "en" if i % 2 else "fr") for i, t, _ in corpus(60)]
+    hot = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(str(i).encode()) % 5)
+    df = spark.createDataFrame([*rows, *[(hot, f"row {n} of one id", "de") for n in range(2000)], (hot + 1, "two languages", "en"), (hot + 1, "two languages", "fr")],
+                               "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(hot, 1)] * 50 + [(59, 0)], "doc_id long, quality int")
+    x, bags, y = quality_mil.sample(df, labels, docs=20, bag=4)
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert set(y.tolist()) == {0.0, 1.0} and len(y) == sum(min(20, sum(i % 2 == c for i in [*learnt, hot] if i != 59)) for c in (0, 1))
+    assert len(x) == len(bags) <= 4 * len(y)
+    codes, numbers, names = language_id.sample(df, docs=5, per_doc=1)
+    assert names == ["de", "en", "fr"] and np.bincount(numbers).tolist() == [1, 5, 5]

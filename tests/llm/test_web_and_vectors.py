@@ -6,6 +6,7 @@ import hashlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siftlake.llm import permutation_index, queries, url_filter, warc
 from siftlake.session import scratch_path
@@ -47,6 +48,29 @@ def test_vectors_that_take_no_part(spark):
     assert permutation_index.nearest(df.limit(0), df.limit(0)).isEmpty()
 
 
+def test_lengths_copies_and_repeated_queries(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2400, 8))
+    x[800:1600] = x[800]  # a third of the rows
+    x[1600:1640] = x[800] + rng.normal(size=(40, 8)) / 20
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    longer = [(5000 + i, rng.normal(size=9).tolist()) for i in range(3)]
+    df = spark.createDataFrame([*rows, *longer], "vec_id long, embedding array<double>")
+    near = [i for i in range(0, 2400, 20) if 800 <= i < 1640]
+    asked = [*near, *range(0, 800, 200), 5000]
+    got = {}
+    found = permutation_index.nearest(df, df.filter(F.col("vec_id").isin(asked)), 10, pivots=128, prefix=32, share=0.05, least=60, block=1000)
+    for r in found.collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = exact(rows, [rows[i] for i in asked if i < 5000], 10)
+    assert np.mean([len(set(got[q]) & set(want[q])) for q in near]) >= 9 and all(len(got[q]) == 10 for q in want)
+    assert sorted(got[5000]) == [5001, 5002] and set(got) == set(asked)
+    # two rows of one id: the vector that sorts first asks, once
+    twice = spark.createDataFrame([(0, [2.0, 1.0]), (0, [1.0, 5.0]), (0, [1.0, 5.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], df.schema)
+    got = permutation_index.nearest(twice, twice.filter("vec_id = 0")).orderBy("rank").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 2, 5.0), (0, 2, 1, 1.0)]
+
+
 PAGES = [
     (1, "http://A.example.com/fr/x?y", "<a href='https://b.net/'>"), (2, "https://c.com/de/1", '<a HREF="//b.net/x">'), (3, "https://c.com/en/1", ""),
     (4, "http://b.net/", '<a href="http://d.net">'), (5, "http://x.example.org/en/12", None), (6, "http://x.example.org/es/1", ""), (7, "http://example.org/en/2", ""),
