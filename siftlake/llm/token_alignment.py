@@ -219,6 +219,11 @@ class Aligned:
         return self.a[self.found.link_a] << SHIFT | self.b[self.found.link_b]
 
 
+def place_type(pairs: int) -> str:
+    """How a place in a list of so many pairs is written."""
+    return "<u2" if pairs <= 1 << 16 else "<u4"
+
+
 def align(documents: DataFrame, vocabulary: str, model: str) -> DataFrame:
     """Per document its ids by both tokenizers and its groups, each by the token numbers after its last ones."""
     kind = pa.struct([("a_end", pa.int32()), ("b_end", pa.int32())])
@@ -249,7 +254,7 @@ def _written(documents: DataFrame, vocabulary: str, model: str) -> DataFrame:
             for part in slices(batch, limit=SLICE_BYTES):
                 x = Aligned(encoder, part.column("text"))
                 pairs, places, counts = np.unique(x.pairs(), return_inverse=True, return_counts=True)
-                places, rows = places.astype("<u4"), part.num_rows
+                places, rows = places.astype(place_type(len(pairs))), part.num_rows
                 figures = [pa.array(np.diff(cuts)) for cuts in (x.a_cuts, x.b_cuts, x.group_cuts, x.link_cuts)]
                 own = [places[i:j].tobytes() for i, j in pairwise(x.link_cuts.tolist())]
                 yield pa.RecordBatch.from_arrays([
@@ -275,9 +280,9 @@ def alignment_report(documents: DataFrame, vocabulary: str, model: str) -> DataF
     facts = lists.select("block", "place", "pair").join(totals, "pair").select(F.col("block").alias("slice"), "place", "count", "best")
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        places = [np.frombuffer(x, "<u4") for x in left.column("places").to_pylist()]
-        cuts = np.cumsum([0, *map(len, places)])
-        every, sums = np.concatenate([*places, np.empty(0, "<u4")]).astype(np.int64), []
+        kind = place_type(right.num_rows)
+        every, sums = np.frombuffer(b"".join(left.column("places").to_pylist()), kind).astype(np.int64), []
+        cuts = np.concatenate([[0], np.cumsum(left.column("n_links").to_numpy())])
         for name in ("best", "count"):
             values = np.empty(right.num_rows, np.int64)
             if right.num_rows:  # else no text of the slice has a link
