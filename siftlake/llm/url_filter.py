@@ -3,7 +3,8 @@
 Rules of host and path prefix judge the pages they fit, the longest rule first. The other pages get their
 host's verdict: trust spreads from the hosts of allowed pages along links, distrust from those of blocked pages
 against links, each a personalised PageRank over the graph of distinct host-to-host links; a host whose distrust
-exceeds its trust by more than ``margin`` is blocked, any other allowed.
+exceeds its trust by more than ``margin`` is blocked, any other allowed; equal trust and distrust allow. Ranks go
+through ``ROUNDS`` rounds, or fewer if a round changes none, which no later round would then do either.
 
 Ranks are whole numbers out of ``SCALE`` and every share is rounded down, so sums do not depend on their order
 and a result is the same on every run. Seeds are pages per host, over all pages. A page's links are its
@@ -20,13 +21,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftlake.operators.attach import attach
 from siftlake.session import checkpointed
 
 SCALE = 10**15
-ROUNDS, DAMPING = 10, 85
-#: Rounds after which the ranks are written out, to cut the plan.
+#: After so many rounds less than a ten-thousandth of the mass (0.85 ** 57) is still on its way.
+ROUNDS, DAMPING = 57, 85
+#: Rounds after which the ranks are written out, to cut the plan, and compared with the next ones.
 EVERY = 5
-HREF = r"""(?i)\bhref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^/?#"'\s<>]+)"""
+#: Links of one host that a task takes, about.
+LINKS = 100_000
+#: Blocked hosts that are sent to every executor, some 16 MB; beyond it pages are joined with large hosts spread.
+FEW = 200_000
+#: Nothing in it is tried twice, so that its time grows with the text.
+HREF = r"""(?i)\bhref\s*+=\s*+["']?+\s*+((?:[a-z][a-z0-9+.-]*+:)?+//[^/?#"'\s<>]++)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,19 +75,35 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.filter("src <> '' AND dst <> '' AND src <> dst").distinct()
 
 
-def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
-    """Ranks by (kind, host). ``seeds``: kind, host, seed; ``links``: kind, src, dst, with the direction of its kind."""
-    degrees = links.groupBy("kind", "src").agg(F.count("*").alias("degree"))
-    links = checkpointed(links.join(degrees, ["kind", "src"]))
+def _fingerprint(ranks: DataFrame) -> tuple:
+    return tuple(ranks.agg(F.count("*"), F.sum(F.xxhash64("kind", "host", "rank").cast("decimal(20,0)"))).first())
+
+
+def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING, limit: int = LINKS) -> DataFrame:
+    """Ranks by (kind, host). ``seeds``: kind, host, seed; ``links``: kind, src, dst, with the direction of its kind.
+
+    The links of a host with more than ``limit`` are split by their targets, and its rank is sent to each part.
+    """
+    parts = F.ceil(F.col("degree") / limit)
+    degrees = checkpointed(links.groupBy("kind", F.col("src").alias("host")).agg(F.count("*").alias("degree")))
+    marked = links.join(degrees.withColumnRenamed("host", "src"), ["kind", "src"])
+    links = checkpointed(marked.select("kind", "src", "dst", F.pmod(F.xxhash64("dst"), parts).alias("part")))
     seeds = checkpointed(seeds)
-    base = seeds.select("kind", "host", F.expr(f"seed * {100 - damping}").alias("part"))
+    base = seeds.select("kind", "host", F.expr(f"seed * {100 - damping}").alias("share"))
+
+    def following(ranks: DataFrame) -> DataFrame:
+        given = ranks.join(degrees, ["kind", "host"]).filter("rank >= degree")
+        given = given.select("kind", F.col("host").alias("src"), F.expr(f"(rank div degree) * {damping}").alias("share"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+        given = links.join(given, ["kind", "src", "part"]).select("kind", F.col("dst").alias("host"), "share")
+        return base.unionByName(given).groupBy("kind", "host").agg(F.expr("sum(share) div 100").alias("rank"))
+
     ranks = seeds.select("kind", "host", F.col("seed").alias("rank"))
     for i in range(rounds):
-        given = links.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
-        given = given.select("kind", F.col("dst").alias("host"), F.expr(f"(rank div degree) * {damping}").alias("part"))
-        ranks = base.unionByName(given).groupBy("kind", "host").agg(F.expr("sum(part) div 100").alias("rank"))
-        if (i + 1) % EVERY == 0:
+        ranks = following(ranks)
+        if (i + 1) % EVERY == 0 or i == 0:
             ranks = checkpointed(ranks)
+            if _fingerprint(ranks) == _fingerprint(following(ranks)):
+                break
     return ranks
 
 
@@ -98,9 +122,16 @@ def judge_urls(pages: DataFrame, rules: list[Rule], margin: int = 0, rounds: int
     both = links.select(F.lit("allow").alias("kind"), "src", "dst").unionByName(links.select(F.lit("block").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")))
     ranks = propagate(seeds, both, rounds)
     signed = F.when(F.col("kind") == "block", F.col("rank")).otherwise(-F.col("rank"))
-    blocked = ranks.groupBy("host").agg(F.sum(signed).alias("excess")).filter(F.col("excess") > margin).select("host", F.lit("block").alias("by_host"))
-    verdict = F.coalesce("by_rule", "by_host", F.lit("allow"))
-    return judged.join(blocked, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+    blocked = checkpointed(ranks.groupBy("host").agg(F.sum(signed).alias("excess")).filter(F.col("excess") > margin).select("host", F.lit("block").alias("by_host")))
+    out = ("page_id", "host", "path", "rule")
+    ruled = judged.filter("by_rule IS NOT NULL").select(*out, F.col("by_rule").alias("verdict"))
+    others = judged.filter("by_rule IS NULL")
+    if blocked.count() <= FEW:
+        others = others.join(F.broadcast(blocked), "host", "left")
+    else:
+        facts = others.groupBy("host").agg(F.count("*").alias("pages")).join(blocked, "host", "left")
+        others = attach(others.withColumn("seq", F.xxhash64("page_id", "path")), checkpointed(facts), "host", "pages")
+    return ruled.unionByName(others.select(*out, F.coalesce("by_host", F.lit("allow")).alias("verdict")))
 
 
 def judge_urls_sql(rules: list[Rule], rounds: int = ROUNDS, damping: int = DAMPING, margin: int = 0) -> str:
@@ -109,14 +140,9 @@ def judge_urls_sql(rules: list[Rule], rounds: int = ROUNDS, damping: int = DAMPI
     fits = [f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN" for r in cases]
     name = " ".join(f"{fit} '{r.name}'" for fit, r in zip(fits, cases, strict=True))
     verdict = " ".join(f"{fit} '{r.verdict}'" for fit, r in zip(fits, cases, strict=True))
-    href = HREF.replace("'", "''")
-    steps = ["r0 AS MATERIALIZED (SELECT kind, host, seed AS rank FROM seeds)"]
-    for i in range(rounds):
-        steps.append(f"""r{i + 1} AS MATERIALIZED (SELECT kind, host, (sum(part) // 100)::BIGINT AS rank FROM (
-            SELECT kind, host, seed * {100 - damping} AS part FROM seeds
-            UNION ALL SELECT l.kind, l.dst, (r.rank // l.degree) * {damping} FROM edges l JOIN r{i} r ON r.kind = l.kind AND r.host = l.src)
-            GROUP BY kind, host)""")
-    return f"""WITH cut AS (
+    # The same pattern; this engine never goes back.
+    href = HREF.replace("*+", "*").replace("?+", "?").replace("++", "+").replace("'", "''")
+    return f"""WITH RECURSIVE cut AS (
         SELECT page_id, coalesce(html, '') AS html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
       parts AS (SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
@@ -128,6 +154,10 @@ def judge_urls_sql(rules: list[Rule], rounds: int = ROUNDS, damping: int = DAMPI
       kept AS MATERIALIZED (SELECT src, dst FROM links WHERE src <> '' AND dst <> '' AND src <> dst),
       directed AS (SELECT 'allow' AS kind, src, dst FROM kept UNION ALL SELECT 'block', dst, src FROM kept),
       edges AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY kind, src) AS degree FROM directed),
-      {", ".join(steps)},
-      blocked AS (SELECT host FROM r{rounds} GROUP BY host HAVING sum(CASE WHEN kind = 'block' THEN rank ELSE -rank END) > {margin})
+      ranks AS (SELECT 0 AS i, kind, host, seed AS rank FROM seeds UNION ALL
+        SELECT i, kind, host, (sum(part) // 100)::BIGINT AS rank FROM (
+          SELECT n.i + 1 AS i, s.kind, s.host, s.seed * {100 - damping} AS part FROM seeds s, (SELECT max(i) AS i FROM ranks) n WHERE n.i < {rounds}
+          UNION ALL SELECT r.i + 1, l.kind, l.dst, (r.rank // l.degree) * {damping} FROM edges l JOIN ranks r ON r.kind = l.kind AND r.host = l.src WHERE r.i < {rounds})
+        GROUP BY i, kind, host),
+      blocked AS (SELECT host FROM ranks WHERE i = {rounds} GROUP BY host HAVING sum(CASE WHEN kind = 'block' THEN rank ELSE -rank END) > {margin})
       SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict FROM judged"""
