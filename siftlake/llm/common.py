@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,9 +50,34 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_CHARS)
         yield batch.slice(start)
 
 
+def arrow_uri(uri: str) -> str:
+    """A folder's address with the scheme that Arrow knows it by: Spark calls the same store s3a or s3n."""
+    scheme, mark, rest = uri.partition("://")
+    return f"s3://{rest}" if mark and scheme.lower() in ("s3a", "s3n") else uri
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a shared folder, and the path in it."""
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(arrow_uri(uri))
+
+
+def in_order(documents: DataFrame) -> DataFrame:
+    """doc_id and text in ascending order of doc_id over the partitions and in them.
+
+    Rows of one id, null among them, are dealt on by their text and place, so that they do not fill a task.
+    """
+    rows = only(documents, doc_id="long", text="string").select("*", F.xxhash64("text").alias("salt"), F.monotonically_increasing_id().alias("place"))
+    order = ("doc_id", "salt", "place")
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+
+
+#: Numbers of characters beyond what there is, which the library would take digit by digit.
+_TOO_LARGE = re.compile(r"&#0*+[0-9]{8,}+;?")
+
+
+def decoded(text: str) -> str:
+    """A page's text with its character references resolved."""
+    return html.unescape(_TOO_LARGE.sub("\ufffd", text)) if "&" in text else text
 
 
 class Chunks:

@@ -17,7 +17,6 @@ table gives no rows. Other columns of the pages are not looked at.
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import in_arrow, only, slices
+from siftlake.llm.common import decoded, in_arrow, only, slices
 from siftlake.operators.attach import attach
 from siftlake.session import checkpointed
 
@@ -79,15 +78,9 @@ UNQUOTED = re.compile(r"[^\s>]*+")
 COMMENT_END = re.compile(r"--!?>")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-#: Numbers of characters beyond what there is, which the library would take digit by digit.
-TOO_LARGE = re.compile(r"&#0*+[0-9]{8,}+;?")
 KEPT_ATTRIBUTES = frozenset("class id role hidden style aria-hidden".split())
 
 
-def decoded(text: str) -> str:
-    return html.unescape(TOO_LARGE.sub("�", text)) if "&" in text else text
-
-
 def step_of(tag: str, classes: str) -> str:
     """A tag with its classes, digits made alike."""
     if not classes:

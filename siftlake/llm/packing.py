@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from siftlake.llm.common import in_arrow, only, slices
+from siftlake.llm.common import in_arrow, in_order, slices
 from siftlake.llm.word_cache import encoder
 
 LENGTH = 2048
@@ -131,5 +131,4 @@ def pack(documents: DataFrame, vocabulary: str, end_id: int, length: int = LENGT
         if parts:
             yield pack_block(doc_ids, parts, sentence_ends, length, first)[0]
 
-    ordered = only(documents, doc_id="long", text="string").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return in_arrow(ordered, task, PIECES)
+    return in_arrow(in_order(documents), task, PIECES)

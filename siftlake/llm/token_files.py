@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import filesystem, in_arrow, only, slices
+from siftlake.llm.common import filesystem, in_arrow, in_order, slices
 from siftlake.llm.word_cache import encoder
 from siftlake.session import scratch_path
 
@@ -139,8 +139,7 @@ def write_token_files(documents: DataFrame, folder: str, vocabulary: str, end_id
     spark = documents.sparkSession
     fs, path = filesystem(folder)
     fs.create_dir(path, recursive=True)
-    ordered = only(documents, doc_id="long", text="string").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    in_arrow(ordered, write, MANIFEST).write.parquet(f"{folder}/manifest")
+    in_arrow(in_order(documents), write, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
 

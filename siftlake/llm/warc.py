@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import html
 import re
 import uuid
 import zlib
@@ -26,22 +25,39 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import filesystem, in_arrow, only, slices
+from siftlake.llm.common import SLICE_CHARS, decoded, filesystem, in_arrow, only, slices
 from siftlake.session import scratch_path
 
 ENTRIES = "key long, file string, offset long, size long, record_id string, refers_to string, kind string"
 RECORDS = ENTRIES + ", target_uri string, date string, block_digest string, payload_digest string, block string"
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>", re.S | re.I)
-_BREAKS = re.compile(r"<\s*/?\s*(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|head|body|blockquote|pre)\b[^>]*>", re.I)
-_TAGS = re.compile(r"<[!/?a-zA-Z][^>]*>")
+_OPENED = re.compile(r"<!--|<(script|style|noscript|template)\b", re.I)
+_CLOSED = {"": re.compile("-->"), **{tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in ("script", "style", "noscript", "template")}}
+_BREAKS = re.compile(r"<\s*+/?\s*+(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|head|body|blockquote|pre)\b[^>]*+>", re.I)
+_TAGS = re.compile(r"<[!/?a-zA-Z][^>]*+>")
 _BLANKS, _LINES = re.compile(r"[^\S\n]+"), re.compile(r" ?\n[ \n]*")
 
 
+def _without_dropped(page: str) -> str:
+    """A blank for each comment, script and the like; one without an end stays. Takes time in proportion to the page."""
+    kept, upto, at, endless = [], 0, 0, set()
+    while opened := _OPENED.search(page, at):
+        kind, at = (opened[1] or "").lower(), opened.end()
+        closed = None if kind in endless else _CLOSED[kind].search(page, at)
+        if closed is None:
+            endless.add(kind)  # nor has any later one an end
+            continue
+        kept.append(page[upto:opened.start()])
+        upto = at = closed.end()
+    return " ".join([*kept, page[upto:]])
+
+
 def plain_text(page: str) -> str:
     """The text of a page: no scripts, comments or tags, a line per block, entities resolved."""
-    text = _TAGS.sub("", _BREAKS.sub("\n", _DROPPED.sub(" ", page)))
-    return _LINES.sub("\n", _BLANKS.sub(" ", html.unescape(text))).strip()
+    text = _without_dropped(page)
+    tagged = text.rfind(">") + 1  # what follows has no whole tag
+    text = _TAGS.sub("", _BREAKS.sub("\n", text[:tagged])) + text[tagged:]
+    return _LINES.sub("\n", _BLANKS.sub(" ", decoded(text))).strip()
 
 
 def digest(data: bytes) -> str:
@@ -119,10 +135,14 @@ def parse_record(member: bytes) -> tuple[dict[str, str], bytes]:
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records of an index, from the files alone: a row per record."""
 
+    schema = pa.schema([
+        ("key", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("size", pa.int64()),
+        *[(c, pa.string()) for c in ("record_id", "refers_to", "kind", "target_uri", "date", "block_digest", "payload_digest", "block")]])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, source = None, None
         for batch in batches:
-            out = []
+            out, held = [], 0
             for row in batch.to_pylist():
                 if row["file"] != name:
                     fs, path = filesystem(f"{folder}/{row['file']}")
@@ -133,9 +153,11 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 out.append({**row, "record_id": headers["WARC-Record-ID"], "refers_to": headers["WARC-Refers-To"], "kind": headers["WARC-Type"],
                             "target_uri": headers["WARC-Target-URI"], "date": headers["WARC-Date"], "block_digest": headers["WARC-Block-Digest"],
                             "payload_digest": fields.get("payload-digest"), "block": block.decode()})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-                ("key", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("size", pa.int64()),
-                *[(c, pa.string()) for c in ("record_id", "refers_to", "kind", "target_uri", "date", "block_digest", "payload_digest", "block")]]))
+                held += len(block)
+                if held > SLICE_CHARS:  # blocks are held by their size, not by their number
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out, held = [], 0
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return in_arrow(index, read, RECORDS)
 

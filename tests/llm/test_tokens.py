@@ -7,9 +7,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siftlake.llm import byte_bpe, packing, token_files
+from siftlake.llm import byte_bpe, common, packing, token_files
 from siftlake.session import scratch_path
 
 BYTE, RANKS, WORD = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "word_bpe_49k.json"))
@@ -159,3 +160,17 @@ def test_empty_tables(spark):
     assert token_files.token_digests(none, BYTE, 2).isEmpty()
     assert packing.pack(none, WORD, 1).isEmpty()
     assert byte_bpe.bpe_digests(none, RANKS, public_tokenizers.PATTERN).isEmpty()
+
+
+def test_rows_of_one_id_spread_and_stay_in_order(spark):
+    rows = [(None, f"no id {i}") for i in range(3000)] + [(7, "same") for _ in range(3000)] + [(i, "x") for i in range(100, 400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows make one task
+    df = common.in_order(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    parts = df.select(F.spark_partition_id().alias("part"), "doc_id").groupBy("part").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).orderBy("part").collect()
+    assert len(parts) > 2 and max(r["n"] for r in parts) < 3000
+    ids = [r["doc_id"] for r in df.collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0)) and len(ids) == len(rows)
+    found = token_files.token_digests(spark.createDataFrame(rows, "doc_id long, text string"), BYTE, 2).collect()
+    spans = sorted((r["start"], r["n_tokens"]) for r in found)
+    assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:], strict=False))

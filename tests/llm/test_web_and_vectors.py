@@ -1,14 +1,16 @@
 """Permutation index, URL filter and WARC derivatives against brute force and SQL."""
 
 import base64
+import gzip
 import hashlib
+import time
 
 import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftlake.llm import permutation_index, queries, url_filter, warc
+from siftlake.llm import common, permutation_index, queries, url_filter, warc
 from siftlake.session import scratch_path
 
 
@@ -79,7 +81,7 @@ PAGES = [
 ]
 
 
-def test_urls_as_in_sql(spark):
+def test_urls_as_in_sql(spark, monkeypatch):
     df = spark.createDataFrame([(*p, "r") for p in PAGES], "page_id long, url string, html string, rule string")
     got = sorted((tuple(r) for r in url_filter.judge_urls(df, queries.RULES).collect()), key=str)
     con = duckdb.connect()
@@ -92,6 +94,8 @@ def test_urls_as_in_sql(spark):
     assert by[8][1:] == ("", "", None, "allow") and by[13][1:3] == ("user@h:80", "")
     assert by[3][4] == "block" and by[10][4] == "block"  # a host of blocked pages, and one that links to it
     assert by[4][4] == "allow"
+    monkeypatch.setattr(url_filter, "FEW", 0)  # blocked hosts beyond a broadcast
+    assert sorted((tuple(r) for r in url_filter.judge_urls(df, queries.RULES).collect()), key=str) == got
     assert url_filter.judge_urls(df.limit(0), queries.RULES).isEmpty()
 
 
@@ -108,6 +112,69 @@ def test_ranks_are_personalised_pagerank(spark):
     for _ in range(40):
         rank = 0.15 * seed + 0.85 * move @ rank
     assert all(got.get(n, 0) == pytest.approx(rank[i], abs=1e-9) for i, n in enumerate(names))
+    split = {r["host"]: r["rank"] / url_filter.SCALE for r in url_filter.propagate(seeds, links, 40, limit=1).collect()}
+    assert split == got
+    final = np.linalg.solve(np.eye(4) - 0.85 * move, 0.15 * seed)
+    rank = {r["host"]: r["rank"] / url_filter.SCALE for r in url_filter.propagate(seeds, links).collect()}
+    assert sum(abs(rank.get(n, 0) - final[i]) for i, n in enumerate(names)) < 1e-4
+
+
+def test_a_long_chain_as_in_sql(spark):
+    # distrust goes back over forty links; a ring keeps ranks moving
+    pages = [(i, f"http://n{i}.com/en/", f"<a href=http://n{i + 1}.com/>") for i in range(40)] + [(40, "http://n40.com/de/x", None), (41, "http://n40.com/fr/x", None), (42, "http://n40.com/de/y", None)]
+    pages += [(100 + i, f"http://r{i}.net/fr/", f"<a href='//r{(i + 1) % 3}.net'> <a href=//n7.com>") for i in range(3)] + [(110, "http://n3.com/", "")] * 50
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    want = sorted((tuple(r) for r in con.execute(url_filter.judge_urls_sql(queries.RULES)).fetchall()), key=str)
+    assert sorted((tuple(r) for r in url_filter.judge_urls(df, queries.RULES).collect()), key=str) == want
+    assert {r[0] for r in want if r[4] == "block"} >= {0, 1, 2, 3, 40}
+
+
+@pytest.mark.parametrize("part", ["<a href=" + " " * 400_000, "href= " * 100_000, "href=a" * 100_000, "href=http:" * 60_000, "<a " * 300_000, "href" + "\n" * 500_000])
+def test_links_of_long_pages(spark, part):
+    pages = spark.createDataFrame([("h", part + "<a href='http://z.net/'>")], "host string, html string")
+    start = time.monotonic()
+    assert [r["dst"] for r in url_filter.host_links(pages).collect()] in (["z.net"], [])
+    assert time.monotonic() - start < 10
+
+
+@pytest.mark.parametrize("part", ["<!--", "<script", "<script>", "<a ", "<p ", "<" + " " * 50, "</script ", "&#9", "&", "<style><!--"])
+def test_text_of_long_pages_takes_time_in_proportion(part):
+    start = time.process_time()
+    warc.plain_text(part * (5_000_000 // len(part)))
+    assert time.process_time() - start < 10
+    assert warc.plain_text(f"a<p>b{part}") in (f"a\nb{part}".strip(), "a\nb", "a\nb<!--", f"a\nb{part}".replace("&#9", "").strip())
+
+
+def test_every_file_of_derivatives_by_the_standard_library(spark):
+    rows = [(i, f"http://h/{i}", f"<p>page {i}</p>" * (i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    folder = scratch_path(spark, "warc")
+    entries = warc.write_derivatives(warc.responses_of(df, "2024-01-01T00:00:00Z"), folder).collect()
+    seen = {}
+    for name in {r["file"] for r in entries}:
+        data = gzip.open(f"{folder.removeprefix('file://')}/{name}").read()
+        while data:
+            head, _, rest = data.partition(b"\r\n\r\n")
+            lines = head.decode().split("\r\n")
+            headers = dict(x.split(": ", 1) for x in lines[1:])
+            size = int(headers["Content-Length"])
+            assert lines[0] == "WARC/1.1" and rest[size:size + 4] == b"\r\n\r\n"
+            seen[headers["WARC-Record-ID"]] = (headers, rest[:size].decode())
+            data = rest[size + 4:]
+    assert len(seen) == 120 == len(entries)
+    for entry in entries:
+        headers, block = seen[entry["record_id"]]
+        url, page = next((u, h) for i, u, h in rows if i == entry["key"])
+        assert headers["WARC-Target-URI"] == url == headers["WARC-Refers-To-Target-URI"] and headers["WARC-Refers-To"] == entry["refers_to"]
+        want = "\n".join(x for x in page.replace("<p>", "").split("</p>") if x)
+        assert block == want if entry["kind"] == "conversion" else "payload-digest: sha1:" + base64.b32encode(hashlib.sha1(page.encode()).digest()).decode() in block
+
+
+def test_addresses_of_shared_folders():
+    assert [common.arrow_uri(x) for x in ("s3a://b/x", "S3N://b/x", "s3://b", "hdfs://n/x", "file:///x", "/x")] == ["s3://b/x", "s3://b/x", "s3://b", "hdfs://n/x", "file:///x", "/x"]
 
 
 def test_derivatives_round_trip(spark):
