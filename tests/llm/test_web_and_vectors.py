@@ -135,6 +135,7 @@ def test_a_long_chain_as_in_sql(spark):
 @pytest.mark.parametrize("part", ["<a href=" + " " * 400_000, "href= " * 100_000, "href=a" * 100_000, "href=http:" * 60_000, "<a " * 300_000, "href" + "\n" * 500_000])
 def test_links_of_long_pages(spark, part):
     pages = spark.createDataFrame([("h", part + "<a href='http://z.net/'>")], "host string, html string")
+    url_filter.host_links(pages.limit(0)).collect()  # the first plan of a session takes seconds
     start = time.monotonic()
     assert [r["dst"] for r in url_filter.host_links(pages).collect()] in (["z.net"], [])
     assert time.monotonic() - start < 10
