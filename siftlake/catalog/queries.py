@@ -407,11 +407,11 @@ def _stream(spark: SparkSession, sf_dir: str, policy: DedupPolicy) -> str:
 
 
 def _arriving(spark: SparkSession, sf_dir: str, piece: Column, order: tuple[int, ...], run: Callable[[DataFrame], None]) -> None:
-    """All events as one new file per ``piece``; ``run`` starts the stream anew after each."""
+    """All events as new files, a piece at a time; ``run`` starts the stream anew after each."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     folder = scratch_path(spark, "arriving")
     for place in order:
-        events.filter(piece == place).coalesce(1).write.mode("append").parquet(folder)
+        events.filter(piece == place).write.mode("append").parquet(folder)
         run(raw_from_events(spark.readStream.schema(events.schema).parquet(folder)))
     remove_path(spark, folder)
 

@@ -90,6 +90,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _hadoop_path(spark, path)
+    return files.exists(target)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

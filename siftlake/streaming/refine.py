@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siftlake.operators.dedup import DedupPolicy
+from siftlake.operators.dedup import DedupPolicy, arrivals
 from siftlake.operators.normalize import Mapping
 from siftlake.plans.refine import PROCESSED, RefineResult, dlq_records, evaluate, outcome_column
-from siftlake.session import remove_path
+from siftlake.session import checkpointed, remove_path
 from siftlake.sinks.files import write_dlq, write_refined
 from siftlake.streaming.dedup import mark_duplicates_stream
+from siftlake.streaming.expiry import ExpiryTable, decide
 
 # Fixed value: the flush timer, as the interval between micro-batches.
 DEFAULT_TRIGGER = "10 seconds"
@@ -65,6 +66,40 @@ def batch_writer(
     return write
 
 
+def table_writer(
+    state_folder: str,
+    write: Callable[[DataFrame, int], None],
+    policy: DedupPolicy,
+    base: str,
+    max_lag_seconds: int | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Mark the duplicates of one evaluated micro-batch by the state table and hand it on to ``write``.
+
+    The evaluated events are staged once; the decision reads three of their
+    columns, and its result is joined back. The state is left before the sinks
+    are written: a replayed batch replaces it and comes to the same decision.
+    """
+
+    def mark(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        part = f"{base.rstrip('/')}/staged/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(part)
+        evaluated = spark.read.schema(batch.schema).parquet(part)
+        state = ExpiryTable(spark, state_folder, max_lag_seconds)
+        open_events = evaluated.filter(F.col("verdict").isNull())
+        dropped, blocks = decide(arrivals(open_events), state.before(batch_id), policy)
+        dropped = checkpointed(dropped.withColumnRenamed("seq", "_seq"))
+        state.leave(batch_id, blocks)
+        marked = open_events.join(dropped, F.col("seq") == F.col("_seq"), "left")
+        marked = marked.withColumn("is_duplicate", F.col("_seq").isNotNull()).drop("_seq")
+        rejected = evaluated.filter(F.col("verdict").isNotNull()).withColumn("is_duplicate", F.lit(False))
+        classified = marked.unionByName(rejected).withColumn("outcome", outcome_column()).drop("verdict", "is_duplicate")
+        write(classified, batch_id)
+        remove_path(spark, part)
+
+    return mark
+
+
 def start_refine(
     raw: DataFrame,
     base: str,
@@ -78,13 +113,21 @@ def start_refine(
     max_lag_seconds: int | None = None,
     keep_classified: bool = False,
 ) -> StreamingQuery:
-    """Run the pipeline into ``base``. A failed batch is replayed from ``checkpoint``."""
-    writer = (
-        classify_stream(raw, as_of, policy, mappers, max_lag_seconds)
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(base, as_of, max_records_per_file, keep_classified))
-    )
+    """Run the pipeline into ``base``. A failed batch is replayed from ``checkpoint``.
+
+    Duplicates are marked as in the batch function, micro-batch after
+    micro-batch, by a state table beside the checkpoint. It grows with the
+    number of ids; under ``ttl`` with ``max_lag_seconds`` an id is forgotten at
+    a merge once its block has been over for that much running time.
+    """
+    policy = DedupPolicy(policy) if isinstance(policy, str) else policy
+    write = batch_writer(base, as_of, max_records_per_file, keep_classified)
+    if policy.kind in ("first", "ttl"):
+        rows = evaluate(raw, as_of, mappers)
+        write = table_writer(f"{checkpoint.rstrip('/')}/blocks", write, policy, base, max_lag_seconds)
+    else:
+        rows = classify_stream(raw, as_of, policy, mappers, max_lag_seconds)
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=trigger).start()
