@@ -71,7 +71,7 @@ class ColumnMapping:
 def python_mapping(function: Callable[[dict], tuple[datetime | None, dict]]) -> ColumnMapping:
     """A mapping by a Python function from the parsed payload to event time and cleaned payload.
 
-    Runs in Arrow batches. An event for which it raises, or gives no JSON object
+    Runs in Arrow batches, once for each event of its sources. An event for which it raises, or gives no JSON object
     or a time without zone, becomes an unhandled error; the others go on.
     """
 
@@ -79,6 +79,9 @@ def python_mapping(function: Callable[[dict], tuple[datetime | None, dict]]) ->
     def mapped(documents: pd.Series) -> pd.DataFrame:
         rows = []
         for text in documents:
+            if text is None:  # no object, or an event of another source
+                rows.append((None, None, True))
+                continue
             try:
                 at, payload = function(json.loads(text))
                 micros = None if at is None else (at - _EPOCH) // timedelta(microseconds=1)
@@ -168,28 +171,30 @@ def normalize(
             return F.lit(None).cast("string")
         return first_truthy(*[texts[name] for name in mapping.time_fields])
 
-    def custom_time(mapping: Mapping) -> Column:
-        if isinstance(mapping, ColumnMapping):
-            return F.when(~mapping.failed(document), F.unix_micros(mapping.event_time(document)))
-        return F.lit(None).cast("bigint")
+    def mapped(source: str, mapping: ColumnMapping) -> Column:
+        # Branches do not keep other sources' events from a Python function, nulls do.
+        own = F.when(F.col("source") == source, document)
+        found = F.struct(F.unix_micros(mapping.event_time(own)).alias("us"), mapping.payload(own).alias("payload"))
+        return F.when(own.isNotNull() & ~mapping.failed(own), found)
 
-    custom = any(isinstance(mapping, ColumnMapping) for mapping in used)
+    columns = {source: mapping for source, mapping in mappers.items() if isinstance(mapping, ColumnMapping)}
+    nothing = F.lit(None).cast("struct<us: bigint, payload: string>")
     df = df.select(
         "seq", "event_id", "source", "ingest_timestamp", "raw_payload", *handed_on,
         document.alias("doc"),
         _per_source(mappers, time_json).alias("time_json"),
-        (_per_source(mappers, custom_time) if custom else F.lit(None).cast("bigint")).alias("custom_us"),
+        F.coalesce(*[mapped(source, mapping) for source, mapping in columns.items()], nothing).alias("custom"),
     )
     # The fences also split the generated code: a method the JVM finds too long
     # to compile runs several times slower.
-    df = parse_event_time(fence(df, "time_json"), "time_json")
+    df = parse_event_time(fence(df, "time_json", "custom"), "time_json")
     df = fence(df, "event_us", "event_offset_us", "parse_error")
     document = F.col("doc")
-    event_us = F.coalesce(F.col("custom_us"), F.col("event_us"))
+    event_us = F.coalesce(F.col("custom.us"), F.col("event_us"))
 
     def cleaned(mapping: Mapping) -> Column:
         if isinstance(mapping, ColumnMapping):
-            return F.when(~mapping.failed(document), mapping.payload(document))
+            return F.col("custom.payload")
         return mapping.payload(document, F.col("raw_payload"))
 
     def unmapped(mapping: Mapping) -> Column:
@@ -200,7 +205,7 @@ def normalize(
 
     is_document = F.coalesce(after_blanks(F.col("raw_payload")).startswith("{") & document.isNotNull(), F.lit(False))
     failed = F.col("parse_error") | ~is_document
-    if custom:
+    if columns:
         failed = failed | _per_source(mappers, unmapped)
     return df.select(
         "event_id",
@@ -213,7 +218,7 @@ def normalize(
         "raw_payload",
         (event_us.isNull() & ~F.col("parse_error")).alias("ts_fallback"),
         failed.alias("parse_error"),
-        F.when(event_us.isNull() | F.col("custom_us").isNotNull(), F.lit(0).cast("bigint"))
+        F.when(event_us.isNull() | F.col("custom.us").isNotNull(), F.lit(0).cast("bigint"))
         .otherwise(F.col("event_offset_us"))
         .alias("event_offset_us"),
         _per_source(mappers, may_be_empty).alias("may_be_empty"),

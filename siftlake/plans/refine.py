@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,13 +70,21 @@ def _with_outcome(marked: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RefineResult:
-    """``classified`` holds every input event once, with its ``outcome``."""
+    """``classified`` holds every input event once, with its ``outcome``.
 
-    classified: DataFrame
+    ``source`` is that frame, or what makes it: duplicates are decided when it
+    is first asked for, so ``dlq`` alone costs no decision.
+    """
+
+    source: DataFrame | Callable[[], DataFrame]
     as_of: object = None
     stage_path: str | None = None
     rejected: DataFrame | None = None
 
+    @cached_property
+    def classified(self) -> DataFrame:
+        return self.source() if callable(self.source) else self.source
+
     @property
     def valid(self) -> DataFrame:
         return self.classified.filter(F.col("outcome") == PROCESSED).select(*CANONICAL_COLUMNS, "seq")
@@ -95,7 +105,7 @@ class RefineResult:
     def discard(self) -> None:
         """Remove the stage once all outputs are written."""
         if self.stage_path is not None:
-            remove_path(self.classified.sparkSession, self.stage_path)
+            remove_path((self.classified if self.rejected is None else self.rejected).sparkSession, self.stage_path)
 
 
 def dlq_records(classified: DataFrame, as_of: object = None) -> DataFrame:
@@ -143,9 +153,8 @@ def refine(
         path = stage_path or scratch_path(raw.sparkSession, "stage")
         evaluated = staged(evaluated, path)
     if path is None:
-        marked = mark_duplicates(evaluated, policy, eligible=F.col("verdict").isNull())
-        return RefineResult(_with_outcome(marked), as_of, path)
+        return RefineResult(lambda: _with_outcome(mark_duplicates(evaluated, policy, eligible=F.col("verdict").isNull())), as_of, path)
     # Rejected events need no decision: they go around the dedup join.
     rejected = _with_outcome(evaluated.filter(F.col("verdict").isNotNull()).withColumn("is_duplicate", F.lit(False)))
-    open_events = _with_outcome(mark_duplicates(evaluated.filter(F.col("verdict").isNull()), policy))
-    return RefineResult(open_events.unionByName(rejected), as_of, path, rejected)
+    open_events = evaluated.filter(F.col("verdict").isNull())
+    return RefineResult(lambda: _with_outcome(mark_duplicates(open_events, policy)).unionByName(rejected), as_of, path, rejected)

@@ -52,8 +52,6 @@ class ExpiryTable:
         return f"{self._folder}/level={level}/from={start}"
 
     def _tables(self, parts: list[tuple[int, int]]) -> DataFrame:
-        if not parts:
-            return self._spark.createDataFrame([], STATE)
         return self._spark.read.schema(STATE).parquet(*[self.path(*part) for part in parts])
 
     def _merge(self, batch_id: int) -> None:
@@ -78,8 +76,13 @@ class ExpiryTable:
                 remove_path(self._spark, self.path(level - 1, batch_id - 1 - size + i * size // self._fan))
             level, size = level + 1, size * self._fan
 
-    def before(self, batch_id: int) -> DataFrame:
-        """``event_id, until_us`` as batches before this one have left it; an id may be in several rows."""
+    def before(self, batch_id: int) -> DataFrame | None:
+        """``event_id, until_us`` as batches before this one have left it; an id may be in several rows.
+
+        None for the first batch.
+        """
+        if batch_id == 0:
+            return None
         self._merge(batch_id)
         self._clean(batch_id)
         return self._tables(parts_before(batch_id, self._fan))
@@ -101,14 +104,14 @@ def _blocked_until(narrow: DataFrame, state: DataFrame) -> DataFrame:
     return attach(rows, facts.withColumnRenamed("event_id", "_id"), "_id", "_n").drop("_id")
 
 
-def decide(narrow: DataFrame, state: DataFrame, policy: DedupPolicy) -> tuple[DataFrame, DataFrame]:
+def decide(narrow: DataFrame, state: DataFrame | None, policy: DedupPolicy) -> tuple[DataFrame, DataFrame]:
     """``seq`` of the duplicates among ``event_id, at_us, seq``, and the blocks that the accepted ones set.
 
     As if the rows came one by one in arrival order: a row before the end of
     its id's block is a duplicate, any other is accepted and sets a new block.
     Those before a block of the state are settled by it; the rest is a batch.
     """
-    rows = _blocked_until(narrow, state)
+    rows = narrow.withColumn("until_us", F.lit(None).cast("bigint")) if state is None else _blocked_until(narrow, state)
     blocked = F.col("until_us").isNotNull() & (F.col("at_us") < F.col("until_us"))
     rows = checkpointed(rows.select("event_id", "at_us", "seq", blocked.alias("blocked")))
     rest = rows.filter("NOT blocked").drop("blocked")

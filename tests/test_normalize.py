@@ -211,3 +211,18 @@ def test_times_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert not any(math.isnan(v) for v in before)
+
+
+def test_a_python_mapping_sees_each_event_of_its_source_once(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def noted(payload):
+        with open(log, "a") as out:
+            out.write(f"{payload['n']}\n")
+        return None, {"n": payload["n"]}
+
+    rows = [(i, f"e{i}", "mine" if i % 10 == 0 else "other", json.dumps({"n": i}), NOW) for i in range(100)]
+    raw = spark.createDataFrame(rows, "seq bigint, event_id string, source string, payload string, received_at string")
+    got = normalize(raw, NOW, register_mapper(None, "mine", python_mapping(noted))).filter("NOT parse_error AND payload IS NOT NULL").collect()
+    assert len(got) == 100
+    assert sorted(map(int, open(log).read().split())) == list(range(0, 100, 10))

@@ -89,30 +89,6 @@ def test_landing_folder(spark, tmp_path):
     assert accept_envelopes(df).count() == 4
 
 
-def test_bad_event_templates(spark):
-    """The eight shapes a sender of bad events produces."""
-    nested = {"l1": {"l2": {"l3": {"l4": {"l5": "deep"}}}}}
-    bodies = [
-        {"event_id": ID.format(1), "source": "bad-source", "payload": {}},
-        {"event_id": ID.format(2), "source": "s", "payload": {"timestamp": "2025-02-01T00:00:00+00:00"}},
-        {"event_id": "NOT-A-UUID-AT-ALL", "source": "s", "payload": {"a": 1}},
-        {"event_id": ID.format(3), "source": "", "payload": {"a": 1}},
-        {"event_id": ID.format(4), "source": "s", "payload": {"a": 1}},
-        {"event_id": ID.format(4), "source": "s", "payload": {"a": 2}},
-        {"event_id": ID.format(5), "source": "s", "payload": {"data": None}},
-        {"event_id": ID.format(6), "source": "s", "payload": nested},
-    ]
-    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)], "seq bigint, body string")
-    raw = accept_envelopes(df.withColumn("received_at", F.timestamp_seconds(F.lit(1_706_000_000) + F.col("seq"))))
-    rows = refine(raw, NOW).classified.orderBy("seq").collect()
-    assert [r.outcome for r in rows] == ["validation"] * 3 + ["processed"] * 2 + ["duplicate"] + ["processed"] * 2
-    assert rows[0].error_reason == "payload is empty"
-    assert rows[1].error_reason == "event_timestamp is in the future: 2025-02-01T00:00:00+00:00"
-    assert rows[2].error_reason == "event_id is not a valid UUID: 'NOT-A-UUID-AT-ALL'"
-    assert rows[3].source == "webhook"
-    assert json.loads(rows[7].payload) == nested
-
-
 def outcome_frame(raw):
     rows = [(ID.format(i % 10), "s", '{"a":%d}' % i, i * 43_200) for i in range(8)]
     rows += [("bad", "s", '{"b":[1,{"c":null}]}', 9), (ID.format(9), "s", "not json", 10), (ID.format(9), "s", "[1]", 11)]
@@ -291,3 +267,16 @@ def test_inserting_nothing_changes_nothing(spark):
     insert_if_absent(stored(spark, ["a"]).limit(0), "nothing_new")
     assert spark.table("nothing_new").count() == 0
     spark.sql("DROP TABLE nothing_new")
+
+
+def test_dead_letters_cost_no_dedup(raw, monkeypatch):
+    from siftlake.plans import refine as plan
+
+    def refuse(*_):
+        raise AssertionError("a decision was made")
+
+    monkeypatch.setattr(plan, "mark_duplicates", refuse)
+    rows = [("bad", "s", "{}"), (ID.format(1), "s", '{"a":1}'), (ID.format(1), "s", '{"a":1}')]
+    result = refine(raw(rows), NOW)
+    assert result.dlq.count() == 1
+    result.discard()
