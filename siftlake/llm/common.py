@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -71,6 +71,19 @@ def in_order(documents: DataFrame) -> DataFrame:
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
 
+def first_by_hash(rows: DataFrame, group: str, key: str, k: int) -> DataFrame:
+    """The ``k`` rows of each of a few groups whose key has the smallest hash. ``rows``: one per key, from a checkpoint.
+
+    Hashes spread evenly, so the first ``2 k + 200`` or so of a group lie below a bound that its size gives; only
+    those meet in the group's task, however large it is.
+    """
+    place = F.xxhash64(key).cast("double") / 2.0**64 + 0.5
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_size"))
+    near = rows.join(F.broadcast(sizes), group).filter(place * F.col("_size") <= 2 * k + 200).drop("_size")
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(key), key))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
+
+
 #: Numbers of characters beyond what there is, which the library would take digit by digit.
 _TOO_LARGE = re.compile(r"&#0*+[0-9]{8,}+;?")
 

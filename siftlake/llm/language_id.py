@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from siftlake.llm.common import in_arrow, only, slices
+from siftlake.llm.common import first_by_hash, in_arrow, only, slices
+from siftlake.session import checkpointed
 
 WINDOW, HIDDEN = 64, 10
 DOCS, WINDOWS, LANGUAGES = 250, 12, 64
@@ -166,8 +167,8 @@ def sample(documents: DataFrame, docs: int = DOCS, per_doc: int = WINDOWS) -> tu
     # One row an id, however many rows hold it; an id under several languages names none and is left out.
     ids = rows.groupBy("doc_id").agg(F.min("lang").alias("lang"), F.max("lang").alias("other"), F.min(F.xxhash64("text")).alias("text_hash"))
     ids = ids.filter((F.col("lang") == F.col("other")) & F.col("lang").isin(names))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = [(r["doc_id"], r["text_hash"]) for r in ids.select("doc_id", "text_hash", rank.alias("rank")).filter(F.col("rank") <= docs).collect()]
+    ids = checkpointed(ids.select("doc_id", "lang", "text_hash"))
+    chosen = [(r["doc_id"], r["text_hash"]) for r in first_by_hash(ids, "lang", "doc_id", docs).collect()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftlake.llm.common import in_arrow, only, slices
+from siftlake.llm.common import first_by_hash, in_arrow, only, slices
+from siftlake.session import checkpointed
 
 PASSAGE, BUCKETS, ENCODING, ATTENTION = 512, 512, 24, 12
 DOCS, BAG = 1500, 32
@@ -139,8 +140,8 @@ def sample(documents: DataFrame, labels: DataFrame, docs: int = DOCS, bag: int =
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other")
-    rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = {r["doc_id"]: r["quality"] for r in known.select("doc_id", "quality", rank.alias("rank")).filter(F.col("rank") <= docs).collect()}
+    known = checkpointed(known.select("doc_id", "quality"))
+    chosen = {r["doc_id"]: r["quality"] for r in first_by_hash(known, "quality", "doc_id", docs).collect()}
     if len(set(chosen.values())) < 2:
         return np.empty((0, BUCKETS), np.float32), np.empty(0, np.int64), np.empty(0)
 
