@@ -146,3 +146,34 @@ def test_malformed_messages_in_a_stream(spark, tmp_path):
     }
     dead = read_dlq(spark, f"{base}/dlq").collect()
     assert sorted(r.event_id for r in dead)[0] == "" and {r.error_reason for r in dead} == {"malformed message"}
+
+
+@pytest.mark.parametrize("step", ["write_refined", "write_dlq"])
+def test_a_batch_that_fails_midway_is_replayed_whole(spark, tmp_path, monkeypatch, step):
+    """Its state and some of its outputs are there when it runs again."""
+    from siftlake.streaming import refine as module
+
+    policy, folder, base = DedupPolicy("ttl", ttl_seconds=400), tmp_path / "in", tmp_path / "out"
+    land(spark, folder, 0)
+    run(spark, folder, base, policy)
+    land(spark, folder, 1)
+    write, failures = getattr(module, step), []
+
+    def once(*args, **more):
+        write(*args, **more)
+        failures.append(1)
+        raise OSError("the store is full")
+
+    monkeypatch.setattr(module, step, once)
+    with pytest.raises(Exception, match="store is full"):
+        run(spark, folder, base, policy)
+    monkeypatch.setattr(module, step, write)
+    land(spark, folder, 2)
+    run(spark, folder, base, policy)
+    want = batch_outcomes(spark, policy)
+    assert failures == [1] and outcomes(spark, base) == want
+    processed = sum(o == "processed" for o in want.values())
+    refined = read_refined(spark, f"{base}/refined")
+    assert refined.count() == processed == refined.select("event_id", "ingest_timestamp", "event_timestamp", "source", "payload").count()
+    assert read_dlq(spark, f"{base}/dlq").count() == sum(o in ("validation", "unhandled_error") for o in want.values())
+    assert spark.read.parquet(f"{base}/counts").agg(F.sum("n")).first()[0] == len(want)
