@@ -50,6 +50,7 @@ class CachedEncoder:
         self.tokenizer.encode_special_tokens = plain
         self.model, self.blank = self.tokenizer.model, blank
         self.added = () if plain else tuple(x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.added_start = os.path.commonprefix(self.added)
         self.chunks: dict[str, bytes | None] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -74,7 +75,7 @@ class CachedEncoder:
             return None
         if chunk.isascii() and chunk.isalpha():
             return self._piece(before + chunk if self.blank else chunk.lower())
-        if self.added and any(x in chunk.lower() for x in self.added):
+        if self.added and self.added_start in chunk.lower() and any(x in chunk.lower() for x in self.added):
             return None
         found = _PIECES.findall(chunk)
         if sum(map(len, found)) != len(chunk) or "\n\n" in chunk:
