@@ -10,50 +10,22 @@ is then independent of the others.
 2. Each chunk is reduced to its most recent distinct ids.
 3. Chunks that hold fewer than ``capacity`` distinct ids take over what earlier
    chunks remember, in doubling steps. Usually no step is needed.
-4. Each chunk replays its arrivals on the memory left by the chunk before.
+4. A chunk's line is the memory left by the chunk before, then its arrivals. An
+   arrival is a hit iff fewer than ``capacity`` distinct ids lie between it and
+   the last use of its id. Within ``capacity`` places that is certain; for the
+   others the ids are counted, by counts of rows that are lower in two orders.
 """
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftlake.operators.dominance import with_lower
 from siftlake.operators.ordering import with_position
 from siftlake.session import checkpointed
 
-_MIN_CHUNK_ROWS = 250_000
-
-# The replay travels as code, so executors need no installed package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _hits(ids: list[str], capacity: int) -> np.ndarray:
-    """Which accesses hit a least-recently-used memory that starts empty.
-
-    An id is remembered iff fewer than ``capacity`` distinct ids were used since
-    its own last use, that is, iff that use lies at or behind a mark such that
-    ``capacity`` last uses lie from it on. The mark only moves forward.
-    """
-    codes = pd.factorize(np.asarray(ids, dtype=object))[0]
-    order = np.argsort(codes, kind="stable")
-    again = codes[order][1:] == codes[order][:-1]
-    previous, following = np.full(len(codes), -1), np.full(len(codes), len(codes))
-    previous[order[1:][again]] = order[:-1][again]
-    following[order[:-1][again]] = order[1:][again]
-    before, after, marks = previous.tolist(), following.tolist(), []
-    mark = live = 0
-    for i in range(len(codes)):
-        marks.append(mark)
-        live += before[i] < mark  # else the id's last use only moves
-        while live > capacity:
-            live -= after[mark] > i
-            mark += 1
-    return (previous >= 0) & (previous >= np.array(marks, dtype=np.int64))
+_MIN_CHUNK_ROWS = 32_768
 
 
 def _most_recent(last_use: DataFrame, capacity: int) -> DataFrame:
@@ -86,6 +58,33 @@ def _memory_after(last_use: DataFrame, capacity: int, chunks: int) -> DataFrame:
     return memory
 
 
+def _hits(lines: DataFrame, capacity: int, length: int) -> DataFrame:
+    """``event_id, seq`` of the arrivals that hit; a chunk's line has at most ``length`` rows.
+
+    Of the rows before place ``r``, those whose id was last used before place
+    ``l`` are the ``l + 1`` rows up to ``l`` and one row for every distinct id
+    between ``l`` and ``r``. First uses among them are a running count, the rest
+    are rows lower than ``r`` in place and lower than ``l`` in last use.
+    """
+    line = Window.partitionBy("chunk").orderBy("position")
+    same = Window.partitionBy("chunk", "event_id").orderBy("position")
+    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+    repeats = checkpointed(
+        lines.withColumn("place", F.row_number().over(line).cast("bigint") - 1)
+        .withColumn("before", F.lag("place").over(same))
+        .withColumn("firsts", F.count_if(F.col("before").isNull()).over(earlier))
+        .filter("before IS NOT NULL")
+        .select("chunk", "event_id", "seq", "place", "before", "firsts")
+    )
+    near = F.col("place") - F.col("before") <= capacity
+    # Chunks without a far repeat need no counts; a chunk is one row here.
+    open_chunks = repeats.filter(~near).select("chunk").distinct()
+    counted = with_lower(repeats.join(open_chunks, "chunk", "left_semi"), "chunk", "place", "before", length)
+    between = F.col("firsts") + F.col("lower") - F.col("before") - 1
+    far = counted.filter(~near & (between < capacity))
+    return repeats.filter(near).select("event_id", "seq").unionByName(far.select("event_id", "seq"))
+
+
 def lru_duplicates(narrow: DataFrame, capacity: int, chunk_rows: int | None = None) -> DataFrame:
     """``event_id, seq`` of the arrivals whose id is still remembered."""
     chunk_rows = chunk_rows or max(_MIN_CHUNK_ROWS, 4 * capacity)
@@ -96,16 +95,11 @@ def lru_duplicates(narrow: DataFrame, capacity: int, chunk_rows: int | None = No
     )
 
     last_use = placed.groupBy("chunk", "event_id").agg(F.max("position").alias("position"))
-    # The memory of a chunk is replayed ahead of the next one: its positions are
-    # lower, its rows carry no seq, and there are at most `capacity` of them.
+    # The memory of a chunk is put ahead of the next one: its positions are
+    # lower, its ids are distinct, and there are at most `capacity` of them.
     memory = _memory_after(last_use, capacity, chunks) if chunks > 1 else last_use.limit(0)
     warm = memory.select(
         "event_id", F.lit(None).cast("bigint").alias("seq"), "position", (F.col("chunk") + 1).alias("chunk")
     ).filter(F.col("chunk") < chunks)
 
-    def replay_chunk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("position")
-        hit = _hits(rows["event_id"].tolist(), capacity) & rows["seq"].notna().to_numpy()
-        return rows.loc[hit, ["event_id", "seq"]].astype({"seq": "int64"})
-
-    return placed.unionByName(warm).groupBy("chunk").applyInPandas(replay_chunk, "event_id string, seq bigint")
+    return _hits(placed.unionByName(warm), capacity, chunk_rows + capacity)

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from siftlake.operators.attach import attach
 from siftlake.operators.dedup import DedupPolicy, drop_duplicates, mark_duplicates, seen_size
+from siftlake.operators.dedup_lru import lru_duplicates
 from siftlake.operators.dedup_ttl import ttl_duplicates
+from siftlake.operators.dominance import with_lower
 from siftlake.operators.ordering import with_position
 
 MINUTE = 60_000_000
@@ -95,6 +97,39 @@ def test_ttl_fold_and_distributed_chain(spark, trace, ttl):
         assert set(keys) == want, fold_limit
 
 
+@pytest.mark.parametrize("capacity, hits", [(9, 0), (10, 90)])
+def test_lru_cyclic_trace(spark, capacity, hits):
+    """Ids that come round in turn are the worst case: every repeat is as far as the capacity."""
+    trace = [(f"id{i % 10}", i) for i in range(100)]
+    for chunk_rows in (None, 17):
+        policy = DedupPolicy("lru", capacity=capacity, chunk_rows=chunk_rows)
+        assert len(dropped(events(spark, trace), policy)) == hits
+
+
+def test_lru_far_repeats_of_few_ids(spark):
+    """Far apart, yet few distinct ids lie between: only the count of ids can tell."""
+    trace = [("first", 0), ("second", 1)] + [("hot", 2 + i) for i in range(60)] + [("second", 62), ("first", 63)]
+    for chunk_rows in (None, 20):
+        for capacity in (2, 3):
+            policy = DedupPolicy("lru", capacity=capacity, chunk_rows=chunk_rows)
+            assert dropped(events(spark, trace), policy) == brute_lru(trace, capacity)
+
+
+def test_lru_stays_in_the_jvm(spark):
+    narrow = events(spark, [("a", 0), ("b", 1), ("a", 2)]).select("event_id", F.unix_micros("ingest_timestamp").alias("at_us"), "seq")
+    plan = lru_duplicates(narrow, 1)._jdf.queryExecution().toString()
+    assert "InPandas" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("length", [1, 4, 5, 70])
+def test_with_lower(spark, length):
+    rng = random.Random(length)
+    rows = [(g, place, value) for g in (0, 1) for place, value in enumerate(rng.sample(range(500), length)) if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, "g bigint, place bigint, value bigint")
+    got = {(r.g, r.place): r.lower for r in with_lower(df, "g", "place", "value", length).collect()}
+    assert got == {(g, p): sum(h == g and q < p and w < v for h, q, w in rows) for g, p, v in rows}
+
+
 def test_lru_hit_refreshes(spark):
     trace = [(key, i) for i, key in enumerate(["a", "b", "a", "c", "a", "b"])]
     assert dropped(events(spark, trace), DedupPolicy("lru", capacity=2)) == {2, 4}
