@@ -12,8 +12,9 @@ is then independent of the others.
    chunks remember, in doubling steps. Usually no step is needed.
 4. A chunk's line is the memory left by the chunk before, then its arrivals. An
    arrival is a hit iff fewer than ``capacity`` distinct ids lie between it and
-   the last use of its id. Within ``capacity`` places that is certain; for the
-   others the ids are counted, by counts of rows that are lower in two orders.
+   the last use of its id. Within ``capacity`` places that is certain, and
+   across a block with that many ids it is ruled out; for what is left the ids
+   are counted, by counts of rows that are lower in two orders.
 """
 
 from __future__ import annotations
@@ -58,30 +59,54 @@ def _memory_after(last_use: DataFrame, capacity: int, chunks: int) -> DataFrame:
     return memory
 
 
-def _hits(lines: DataFrame, capacity: int, length: int) -> DataFrame:
-    """``event_id, seq`` of the arrivals that hit; a chunk's line has at most ``length`` rows.
+def _open_repeats(lines: DataFrame, capacity: int) -> DataFrame:
+    """Arrivals whose id came before in the chunk's line, at ``place`` and ``before``, without sure misses.
 
-    Of the rows before place ``r``, those whose id was last used before place
-    ``l`` are the ``l + 1`` rows up to ``l`` and one row for every distinct id
-    between ``l`` and ``r``. First uses among them are a running count, the rest
-    are rows lower than ``r`` in place and lower than ``l`` in last use.
+    A line is cut into blocks of twice the capacity. If a block alone holds
+    ``capacity`` ids, whatever spans it has missed. ``mark`` is the start of the
+    last such block that ends before the own one; it never moves back.
     """
+    size = 2 * capacity
     line = Window.partitionBy("chunk").orderBy("position")
     same = Window.partitionBy("chunk", "event_id").orderBy("position")
-    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
-    repeats = checkpointed(
+    rows = checkpointed(
         lines.withColumn("place", F.row_number().over(line).cast("bigint") - 1)
         .withColumn("before", F.lag("place").over(same))
-        .withColumn("firsts", F.count_if(F.col("before").isNull()).over(earlier))
-        .filter("before IS NOT NULL")
-        .select("chunk", "event_id", "seq", "place", "before", "firsts")
+        .withColumn("block", F.expr(f"place DIV {size}L"))
+        .drop("position")
+    )
+    start = F.col("block") * size
+    earlier = Window.partitionBy("chunk").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    marks = (
+        rows.groupBy("chunk", "block")
+        .agg(F.count_if(F.coalesce("before", F.lit(-1)) < start).alias("ids"))
+        .withColumn("mark", F.max(F.when(F.col("ids") >= capacity, start)).over(earlier))
     )
+    return (
+        rows.filter("before IS NOT NULL")
+        .join(marks.drop("ids"), ["chunk", "block"])
+        .filter("mark IS NULL OR before >= mark")
+        .select("chunk", "event_id", "seq", "place", "before")
+    )
+
+
+def _hits(lines: DataFrame, capacity: int, length: int) -> DataFrame:
+    """``event_id, seq`` of the arrivals that hit; a chunk's line has at most ``length`` rows.
+
+    Between a use at ``before`` and the next at ``place`` every id counts once:
+    all rows there but those that repeat one of them, which are the rows lower
+    in place whose own last use is higher. Such a row is no sure miss if the
+    arrival is none, as marks only move on.
+    """
+    repeats = checkpointed(_open_repeats(lines, capacity))
     near = F.col("place") - F.col("before") <= capacity
     # Chunks without a far repeat need no counts; a chunk is one row here.
-    open_chunks = repeats.filter(~near).select("chunk").distinct()
-    counted = with_lower(repeats.join(open_chunks, "chunk", "left_semi"), "chunk", "place", "before", length)
-    between = F.col("firsts") + F.col("lower") - F.col("before") - 1
-    far = counted.filter(~near & (between < capacity))
+    unsure = repeats.filter(~near).select("chunk").distinct()
+    counted = with_lower(
+        repeats.join(unsure, "chunk", "left_semi").withColumn("back", -F.col("before")), "chunk", "place", "back", length
+    )
+    ids = F.col("place") - F.col("before") - 1 - F.col("lower")
+    far = counted.filter(~near & (ids < capacity))
     return repeats.filter(near).select("event_id", "seq").unionByName(far.select("event_id", "seq"))
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_DIGIT_BITS = 2
+_DIGIT_BITS = 4
 
 
 def with_lower(df: DataFrame, group: str, place: str, value: str, length: int) -> DataFrame:
     """Add ``lower``: how many rows of the group have a smaller ``place`` and a smaller ``value``.
 
     Both are distinct within a group; ``0 <= place < length``. Of two places,
-    written with digits to base four, the smaller one has the smaller digit
+    written with digits to base sixteen, the smaller one has the smaller digit
     where they first differ. So for every digit the rows that agree in all
     digits above it are gone through by value, and each row counts those passed
     with a smaller digit. That is one sort per digit and no pair of rows; the
