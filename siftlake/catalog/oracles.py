@@ -476,6 +476,10 @@ FROM results""",
         "stream_dedup_ttl": _after(_DEDUP_COLUMNS, _ttl(400)),
         "stream_dedup_restarts": _after(_DEDUP_COLUMNS, _ttl(400)),
         "stream_rates": _normalized(_rate("raw_events", "source")),
+        "stream_batches": _after(
+            "SELECT seq, ingest_us // 864000000000 AS tick, (row_number() OVER (PARTITION BY ingest_us // 864000000000 "
+            "ORDER BY ingest_us, seq) - 1) // 100 AS chunk FROM valid"
+        ),
         "flush_batches": _after(
             "SELECT seq % 3 AS batch_id, count(*) AS rows, true AS timed FROM valid GROUP BY seq % 3", _NONE
         ),

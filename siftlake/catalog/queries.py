@@ -30,11 +30,14 @@ from siftlake.sources.kafka import kafka_to_raw, malformed_records
 from siftlake.sources.landing import accept_envelopes, reject_envelopes
 from siftlake.sources.merge import merge_sources
 from siftlake.sources.refined import read_dlq, read_refined
+from siftlake.streaming.batches import read_members
 from siftlake.streaming.refine import flush_batches, start_refine
 
 TOPICS = ("orders", "clicks", "misc")
 LOAD_SECONDS = 2_592_000.0
 BATCH_SHAPE = {"max_size": 4, "interval": 3_600}
+# Ticks of ten days, so that batches are open when the stream is started anew.
+STREAM_SHAPE = {"max_size": 100, "interval": 864_000}
 
 
 def us(name: str, alias: str) -> Column:
@@ -443,6 +446,16 @@ def late_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rates(spark, f"{base}/slots", ["source"])
 
 
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that go on over micro-batches: three thirds of the events in order, the stream started anew for each."""
+    base = scratch_path(spark, "stream")
+    last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).first()[0]
+    piece = F.expr(f"event_id * 3 DIV {(last or 0) + 1}")
+    _arriving(spark, sf_dir, piece, (0, 1, 2), lambda raw: start_refine(
+        raw, base, f"{base}/progress", AS_OF, "first", available_now=True, batch_shape=STREAM_SHAPE).awaitTermination())
+    return read_members(spark, f"{base}/members")
+
+
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream(spark, sf_dir, DedupPolicy("ttl", ttl_seconds=3_600))
     return spark.read.parquet(f"{base}/counts").groupBy("source", "outcome").agg(F.sum("n").alias("n"))
@@ -516,6 +529,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup_restarts": stream_dedup_restarts,
     "stream_rates": late_rates,
     "flush_batches": flush_sizes,
+    "stream_batches": stream_batches,
 }
 
 

@@ -66,12 +66,14 @@ def batches(
 
 def assign_batches(
     events: DataFrame, at: str = "ingest_timestamp", max_size: int = MAX_SIZE,
-    interval: int = INTERVAL_SECONDS, start_us: int = 0,
+    interval: int = INTERVAL_SECONDS, start_us: int = 0, filled: DataFrame | None = None,
 ) -> DataFrame:
     """``seq, tick, chunk``: the batch of every event, in arrival order.
 
     The rank inside a tick is the global position less the first position of
-    the tick, so a crowded tick is not sorted by one task.
+    the tick, so a crowded tick is not sorted by one task. ``filled`` (``tick,
+    n``; a tick may be in several rows) counts events that came before all of
+    these: their ticks go on where they stopped.
     """
     narrow = events.select(F.unix_micros(at).alias("at_us"), "seq")
     placed, _ = with_position(narrow, ["at_us", "seq"])
@@ -79,6 +81,11 @@ def assign_batches(
     starts = checkpointed(
         placed.groupBy("tick").agg(F.count("*").alias("_n"), F.min("position").alias("_start"))
     )
+    if filled is not None:
+        bounds = starts.agg(F.min("tick"), F.max("tick")).first()
+        known = filled.filter(F.col("tick").between(bounds[0], bounds[1])).groupBy("tick").agg(F.sum("n").alias("_filled"))
+        start = F.col("_start") - F.coalesce("_filled", F.lit(0))
+        starts = checkpointed(starts.join(known, "tick", "left").select("tick", "_n", start.alias("_start")))
     return attach(placed, starts, "tick", "_n").select(
         "seq", "tick", F.floor((F.col("position") - F.col("_start")) / max_size).cast("bigint").alias("chunk")
     )

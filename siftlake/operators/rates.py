@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siftlake.operators.metrics import bucket_counts, bucket_names, histogram_quantile
+from siftlake.streaming.levels import FAN, LevelledTable
 
 MICROS = 1_000_000
 # One-minute windows, moved on by the five-second sampling interval.
@@ -49,26 +50,36 @@ def rates(
     )
 
 
-def slot_writer(path: str, at: str, by: list[str] | None = None, step: int = STEP_SECONDS) -> Callable[[DataFrame, int], None]:
+def _slot_table(spark: SparkSession, path: str, by: list[str] | None, fan: int = FAN) -> LevelledTable:
+    keys = [*(by or []), "_slot"]
+    return LevelledTable(spark, path, lambda rows: rows.groupBy(*keys).agg(F.sum("_n").alias("_n")), ["_slot"], fan=fan)
+
+
+def slot_writer(
+    path: str, at: str, by: list[str] | None = None, step: int = STEP_SECONDS, fan: int = FAN
+) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: add the counts per slot of one micro-batch to the table at ``path``.
 
     Writing a batch again replaces it. No watermark: an event however late adds
     to the slot of its own time, and the windows read from the table correct
-    themselves.
+    themselves. Batches are merged in levels, so few tables are read however
+    long the stream has run.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         slots = batch.groupBy(*(by or []), _slot(F.col(at), step * MICROS)).agg(F.count("*").alias("_n"))
-        slots.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        table = _slot_table(batch.sparkSession, path, by, fan)
+        table.tidy(batch_id)
+        table.leave(batch_id, slots)
 
     return write
 
 
 def stream_rates(
     events: DataFrame, at: str, path: str, checkpoint: str, by: list[str] | None = None,
-    step: int = STEP_SECONDS, available_now: bool = False, trigger: str = "10 seconds",
+    step: int = STEP_SECONDS, available_now: bool = False, trigger: str = "10 seconds", fan: int = FAN,
 ) -> StreamingQuery:
     """Keep the slot counts of a stream at ``path``; ``read_rates`` gives the windows."""
-    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(slot_writer(path, at, by, step))
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(slot_writer(path, at, by, step, fan))
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=trigger).start()
@@ -76,12 +87,13 @@ def stream_rates(
 
 def read_rates(
     spark: SparkSession, path: str, by: list[str] | None = None, width: int = WIDTH_SECONDS, step: int = STEP_SECONDS,
+    fan: int = FAN,
 ) -> DataFrame:
-    """The same rates from the slot counts of all micro-batches so far; ``step`` as they were written."""
+    """The same rates from the slot counts of all micro-batches so far; ``step`` and ``fan`` as they were written."""
     if width % step:
         raise ValueError("width must be a multiple of step")
     by = by or []
-    slots = spark.read.parquet(path).groupBy(*by, "_slot").agg(F.sum("_n").alias("_n"))
+    slots = _slot_table(spark, path, by, fan).latest().groupBy(*by, "_slot").agg(F.sum("_n").alias("_n"))
     return (
         _spread(slots, width, step)
         .groupBy("window_end_us", *by)

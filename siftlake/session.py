@@ -95,6 +95,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly under ``path``; none if it does not exist."""
+    files, target = _hadoop_path(spark, path)
+    if not files.exists(target):
+        return []
+    return [entry.getPath().toString() for entry in files.listStatus(target) if entry.isDirectory()]
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

@@ -1,15 +1,9 @@
 """Dedup state of a stream as a table: until when the accepted event of an id blocks it.
 
 Every micro-batch decides on a narrow table (id, time, order) with joins, and
-leaves the blocks it has set as a delta of its own. ``FAN`` deltas are merged
-into one table of the next level, ``FAN`` of those into one of the level above,
-and so on, so a batch reads a number of tables that grows with the logarithm of
-its number. Which tables these are follows from that number alone.
-
+leaves the blocks it has set as a delta of its own (``streaming/levels.py``).
 A batch reads only what batches before it have left. Running it again replaces
-its delta and decides the same. A merge happens before a batch, over batches
-that are final by then; its inputs go at a later merge, and one that did not
-finish is made anew.
+its delta and decides the same.
 """
 
 from __future__ import annotations
@@ -20,75 +14,28 @@ from pyspark.sql import functions as F
 from siftlake.operators.attach import attach
 from siftlake.operators.dedup import DedupPolicy
 from siftlake.operators.dedup_ttl import ttl_duplicates
-from siftlake.session import checkpointed, path_exists, remove_path
+from siftlake.session import checkpointed
+from siftlake.streaming.levels import FAN, LevelledTable
 
-FAN = 16
 #: Later than any event: how long an accepted event blocks its id under ``first``.
 FOREVER = (1 << 63) - 1
 STATE = "event_id string, until_us bigint"
 
 
-def parts_before(batch_id: int, fan: int = FAN) -> list[tuple[int, int]]:
-    """``(level, first batch)`` of the tables that hold batches ``0 .. batch_id - 1``."""
-    parts, start, size, level = [], 0, 1, 0
-    while size * fan <= batch_id:
-        size, level = size * fan, level + 1
-    while size:
-        while start + size <= batch_id:
-            parts.append((level, start))
-            start += size
-        size, level = size // fan, level - 1
-    return parts
-
-
-class ExpiryTable:
-    """The blocks set so far, under ``folder``; ``max_lag_seconds`` as for the stream."""
+class ExpiryTable(LevelledTable):
+    """``event_id, until_us`` as set so far, under ``folder``; ``max_lag_seconds`` as for the stream."""
 
     def __init__(self, spark: SparkSession, folder: str, max_lag_seconds: int | None = None, fan: int = FAN) -> None:
-        self._spark, self._folder, self._fan = spark, folder.rstrip("/"), fan
+        # Sorted by end, so that a batch skips the row groups of blocks that are over.
+        super().__init__(spark, folder, self._last_blocks, ["until_us"], STATE, fan)
         self._max_lag_us = None if max_lag_seconds is None else max_lag_seconds * 1_000_000
 
-    def path(self, level: int, start: int) -> str:
-        return f"{self._folder}/level={level}/from={start}"
-
-    def _tables(self, parts: list[tuple[int, int]]) -> DataFrame:
-        return self._spark.read.schema(STATE).parquet(*[self.path(*part) for part in parts])
-
-    def _merge(self, batch_id: int) -> None:
-        level, size = 1, self._fan
-        while batch_id and batch_id % size == 0:
-            start = batch_id - size
-            if not path_exists(self._spark, f"{self.path(level, start)}/_SUCCESS"):
-                inputs = [(level - 1, start + i * size // self._fan) for i in range(self._fan)]
-                rows = self._tables(inputs).groupBy("event_id").agg(F.max("until_us").alias("until_us"))
-                if self._max_lag_us is not None:
-                    now = F.unix_micros(F.current_timestamp())
-                    rows = rows.filter((F.col("until_us") == FOREVER) | (F.col("until_us") > now - self._max_lag_us))
-                # Sorted by end, so that a batch skips the row groups of blocks that are over.
-                rows.sortWithinPartitions("until_us").write.mode("overwrite").parquet(self.path(level, start))
-            level, size = level + 1, size * self._fan
-
-    def _clean(self, batch_id: int) -> None:
-        """Remove the inputs of merges that the batches before this one have already read past."""
-        level, size = 1, self._fan
-        while (batch_id - 1) % size == 0 and batch_id > size:
-            for i in range(self._fan):
-                remove_path(self._spark, self.path(level - 1, batch_id - 1 - size + i * size // self._fan))
-            level, size = level + 1, size * self._fan
-
-    def before(self, batch_id: int) -> DataFrame | None:
-        """``event_id, until_us`` as batches before this one have left it; an id may be in several rows.
-
-        None for the first batch.
-        """
-        if batch_id == 0:
-            return None
-        self._merge(batch_id)
-        self._clean(batch_id)
-        return self._tables(parts_before(batch_id, self._fan))
-
-    def leave(self, batch_id: int, blocks: DataFrame) -> None:
-        blocks.sortWithinPartitions("until_us").write.mode("overwrite").parquet(self.path(0, batch_id))
+    def _last_blocks(self, rows: DataFrame) -> DataFrame:
+        rows = rows.groupBy("event_id").agg(F.max("until_us").alias("until_us"))
+        if self._max_lag_us is None:
+            return rows
+        now = F.unix_micros(F.current_timestamp())
+        return rows.filter((F.col("until_us") == FOREVER) | (F.col("until_us") > now - self._max_lag_us))
 
 
 def _blocked_until(narrow: DataFrame, state: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from siftlake.operators.normalize import Mapping
 from siftlake.plans.refine import PROCESSED, RefineResult, dlq_records, evaluate, outcome_column
 from siftlake.session import checkpointed, remove_path
 from siftlake.sinks.files import write_dlq, write_refined
+from siftlake.streaming.batches import member_writer
 from siftlake.streaming.dedup import mark_duplicates_stream
 from siftlake.streaming.expiry import ExpiryTable, decide
 
@@ -35,7 +36,8 @@ def classify_stream(
 
 
 def batch_writer(
-    base: str, as_of: object = None, max_records_per_file: int = 0, keep_classified: bool = False
+    base: str, as_of: object = None, max_records_per_file: int = 0, keep_classified: bool = False,
+    write_members: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch; writing it again replaces it.
 
@@ -43,7 +45,8 @@ def batch_writer(
     outputs are then made from that table, so the pipeline runs once per batch.
     It goes once they are written, unless ``keep_classified``. ``refined``:
     date-partitioned events. ``dlq``: JSON lines. ``counts``: events per source
-    and outcome, and how long writing the refined events took.
+    and outcome, and how long writing the refined events took. ``write_members``
+    gets the refined events as well.
     """
     base = base.rstrip("/")
 
@@ -52,11 +55,12 @@ def batch_writer(
         part = f"{base}/classified/batch_id={batch_id}"
         batch.write.mode("overwrite").partitionBy("outcome").parquet(part)
         classified = spark.read.schema(batch.schema).parquet(part)
+        refined = classified.filter(F.col("outcome") == PROCESSED)
         start = time.monotonic()
-        write_refined(
-            classified.filter(F.col("outcome") == PROCESSED), f"{base}/refined", max_records_per_file, batch_id
-        )
+        write_refined(refined, f"{base}/refined", max_records_per_file, batch_id)
         spent = time.monotonic() - start
+        if write_members is not None:
+            write_members(refined, batch_id)
         write_dlq(dlq_records(classified, as_of), f"{base}/dlq", batch_id)
         counts = RefineResult(classified).metrics.withColumn("flush_seconds", F.lit(spent))
         counts.write.mode("overwrite").parquet(f"{base}/counts/batch_id={batch_id}")
@@ -112,6 +116,7 @@ def start_refine(
     max_records_per_file: int = 0,
     max_lag_seconds: int | None = None,
     keep_classified: bool = False,
+    batch_shape: dict[str, int] | None = None,
 ) -> StreamingQuery:
     """Run the pipeline into ``base``. A failed batch is replayed from ``checkpoint``.
 
@@ -119,9 +124,15 @@ def start_refine(
     micro-batch, by a state table beside the checkpoint. It grows with the
     number of ids; under ``ttl`` with ``max_lag_seconds`` an id is forgotten at
     a merge once its block has been over for that much running time.
+
+    With ``batch_shape`` (``max_size``, ``interval``, ``start_us``) the batch of
+    every refined event goes to ``base/members`` (``streaming/batches.py``).
     """
     policy = DedupPolicy(policy) if isinstance(policy, str) else policy
-    write = batch_writer(base, as_of, max_records_per_file, keep_classified)
+    members = None
+    if batch_shape is not None:
+        members = member_writer(f"{base.rstrip('/')}/members", f"{checkpoint.rstrip('/')}/ticks", **batch_shape)
+    write = batch_writer(base, as_of, max_records_per_file, keep_classified, members)
     if policy.kind in ("first", "ttl"):
         rows = evaluate(raw, as_of, mappers)
         write = table_writer(f"{checkpoint.rstrip('/')}/blocks", write, policy, base, max_lag_seconds)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftlake.operators.dedup import DedupPolicy
-from siftlake.streaming.expiry import FOREVER, ExpiryTable, decide, parts_before
+from siftlake.streaming.expiry import FOREVER, ExpiryTable, decide
+from siftlake.streaming.levels import parts_before
 
 
 def loop(batches, policy):

@@ -1,4 +1,5 @@
 import json
+from functools import reduce
 
 import pytest
 from conftest import TESTDATA
@@ -6,15 +7,18 @@ from pyspark.sql import functions as F
 
 from siftlake import refine
 from siftlake.catalog.fixture import AS_OF, raw_events
+from siftlake.operators.batches import assign_batches, batches
 from siftlake.operators.dedup import DedupPolicy
 from siftlake.operators.metrics import FLUSH_BOUNDS, quantiles
-from siftlake.operators.rates import rates, read_rates, stream_rates
+from siftlake.operators.rates import rates, read_rates, slot_writer, stream_rates
 from siftlake.sinks.files import compact_refined
 from siftlake.sources.kafka import kafka_to_raw
 from siftlake.sources.landing import accept_envelopes, read_landing_stream
 from siftlake.sources.merge import merge_sources
 from siftlake.sources.refined import read_dlq, read_refined
+from siftlake.streaming.batches import member_writer, read_batches, read_members
 from siftlake.streaming.dedup import mark_duplicates_stream
+from siftlake.streaming.levels import LevelledTable
 from siftlake.streaming.refine import classify_stream, flush_batches, start_refine
 
 PARTS = 3
@@ -111,6 +115,50 @@ def test_landing_stream(spark, tmp_path):
     assert len({r.event_id for r in got}) == 7 and len({r.seq for r in got}) == 8
 
 
+def test_batches_go_on_over_micro_batches(spark, tmp_path):
+    """Seven micro-batches, two of them replayed and one empty, against one table in arrival order."""
+    rows = [(i, 1_000 + i // 3) for i in range(140)]
+    frame = lambda part: spark.createDataFrame(part, "seq bigint, at bigint").selectExpr("seq", "timestamp_seconds(at) AS t")
+    shape = {"max_size": 4, "interval": 10}
+    write = member_writer(str(tmp_path / "members"), str(tmp_path / "ticks"), "t", fan=2, **shape)
+    cuts = [0, 11, 12, 50, 50, 90, 133, 140]
+    for number, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        if number in (2, 5):  # fails after its counts, and is run again
+            write(frame(rows[low:high]), number)
+        write(frame(rows[low:high]), number)
+    members = read_members(spark, str(tmp_path / "members"))
+    whole = frame(rows)
+    assert sorted(members.collect()) == sorted(assign_batches(whole, "t", **shape).collect())
+    assert sorted(read_batches(members).collect()) == sorted(batches(whole, "t", **shape).collect())
+
+
+def test_late_events_join_their_tick_behind_the_others(spark, tmp_path):
+    write = member_writer(str(tmp_path / "members"), str(tmp_path / "ticks"), "t", max_size=2, interval=10)
+    for number, rows in enumerate([[(0, 5), (1, 6), (2, 7)], [(3, 15)], [(4, 1)]]):
+        write(spark.createDataFrame(rows, "seq bigint, at bigint").selectExpr("seq", "timestamp_seconds(at) AS t"), number)
+    got = {r.seq: (r.tick, r.chunk) for r in read_members(spark, str(tmp_path / "members")).collect()}
+    assert got == {0: (0, 0), 1: (0, 0), 2: (0, 1), 3: (1, 0), 4: (0, 1)}
+
+
+def test_slot_tables_are_merged(spark, tmp_path):
+    path, at = str(tmp_path / "slots"), "received_at"
+    write = slot_writer(path, at, ["source"], fan=2)
+    frames = [
+        spark.createDataFrame([("s", 100 + (7 * i * k) % 40) for k in range(5)], "source string, at bigint")
+        .selectExpr("source", "timestamp_seconds(at) AS received_at") for i in range(7)
+    ]
+    for number, frame in enumerate(frames):
+        write(frame, number)
+        if number == 4:
+            write(frame, number)
+        whole = reduce(lambda a, b: a.unionByName(b), frames[:number + 1])
+        assert sorted(read_rates(spark, path, ["source"], fan=2).collect()) == sorted(rates(whole, F.col(at), ["source"]).collect())
+    table = LevelledTable(spark, path, lambda rows: rows, ["_slot"], fan=2)
+    assert [level for level, _ in table.parts()] == [2, 1, 0]
+    folders = {str(p.relative_to(path)) for p in (tmp_path / "slots").glob("*/*")}
+    assert len(folders) <= 5 and "level=0/from=0" not in folders
+
+
 def test_stream_rates_with_late_events(spark, tmp_path):
     """The newest file comes first, so everything after it is late."""
     folder = tmp_path / "in"
