@@ -480,6 +480,9 @@ FROM results""",
             "SELECT seq, ingest_us // 864000000000 AS tick, (row_number() OVER (PARTITION BY ingest_us // 864000000000 "
             "ORDER BY ingest_us, seq) - 1) // 100 AS chunk FROM valid"
         ),
+        "stream_table": _after(
+            f"SELECT {_VALID_COLUMNS}, strftime(received_at, '%Y-%m-%d') AS ingest_date FROM valid", _NONE
+        ),
         "flush_batches": _after(
             "SELECT seq % 3 AS batch_id, count(*) AS rows, true AS timed FROM valid GROUP BY seq % 3", _NONE
         ),

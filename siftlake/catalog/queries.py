@@ -31,6 +31,7 @@ from siftlake.sources.landing import accept_envelopes, reject_envelopes
 from siftlake.sources.merge import merge_sources
 from siftlake.sources.refined import read_dlq, read_refined
 from siftlake.streaming.batches import read_members
+from siftlake.streaming.events import read_committed
 from siftlake.streaming.refine import flush_batches, start_refine
 
 TOPICS = ("orders", "clicks", "misc")
@@ -456,6 +457,17 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_members(spark, f"{base}/members")
 
 
+def stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of refined events after three restarts and a merge, as its readers see it."""
+    base = scratch_path(spark, "stream")
+    _arriving(spark, sf_dir, F.col("event_id") % 3, (0, 1, 2), lambda raw: start_refine(
+        raw, base, f"{base}/progress", AS_OF, "off", available_now=True, levelled=True, fan=2).awaitTermination())
+    return read_committed(spark, base, fan=2).select(
+        "event_id", "source", us("ingest_timestamp", "ingest_us"), us("event_timestamp", "event_us"), "version",
+        F.date_format("ingest_date", "yyyy-MM-dd").alias("ingest_date"),
+    )
+
+
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _stream(spark, sf_dir, DedupPolicy("ttl", ttl_seconds=3_600))
     return spark.read.parquet(f"{base}/counts").groupBy("source", "outcome").agg(F.sum("n").alias("n"))
@@ -530,6 +542,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_rates": late_rates,
     "flush_batches": flush_sizes,
     "stream_batches": stream_batches,
+    "stream_table": stream_table,
 }
 
 

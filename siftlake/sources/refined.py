@@ -9,12 +9,10 @@ from pyspark.sql import types as T
 from siftlake.schema import CANONICAL_EVENT, DLQ_RECORD
 
 
-def read_refined(
-    spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None
-) -> DataFrame:
-    """The date-partitioned table; the days prune whole directories."""
-    schema = T.StructType([*CANONICAL_EVENT.fields, T.StructField("ingest_date", T.DateType())])
-    events = spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(path)
+DATED_EVENT = T.StructType([*CANONICAL_EVENT.fields, T.StructField("ingest_date", T.DateType())])
+
+
+def between_days(events: DataFrame, first_day: str | None, last_day: str | None) -> DataFrame:
     if first_day is not None:
         events = events.filter(F.col("ingest_date") >= F.lit(first_day).cast("date"))
     if last_day is not None:
@@ -22,6 +20,14 @@ def read_refined(
     return events
 
 
+def read_refined(
+    spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None
+) -> DataFrame:
+    """The date-partitioned table; the days prune whole directories."""
+    events = spark.read.schema(DATED_EVENT).option("recursiveFileLookup", "false").parquet(path)
+    return between_days(events, first_day, last_day)
+
+
 def read_dlq(spark: SparkSession, path: str) -> DataFrame:
     """Dead letters from their JSON lines; the raw payload comes back as JSON text."""
     schema = T.StructType(

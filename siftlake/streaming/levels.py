@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import types as T
 
 from siftlake.session import list_folders, path_exists, remove_path
 
@@ -38,7 +39,7 @@ class LevelledTable:
 
     def __init__(
         self, spark: SparkSession, folder: str, merge: Callable[[DataFrame], DataFrame], order: list[str],
-        schema: str | None = None, fan: int = FAN,
+        schema: str | T.StructType | None = None, fan: int = FAN,
     ) -> None:
         self._spark, self._folder, self._fan = spark, folder.rstrip("/"), fan
         self._merged, self._order, self._schema = merge, order, schema
@@ -46,9 +47,13 @@ class LevelledTable:
     def path(self, level: int, start: int) -> str:
         return f"{self._folder}/level={level}/from={start}"
 
+    def _reader(self) -> DataFrameReader:
+        return self._spark.read if self._schema is None else self._spark.read.schema(self._schema)
+
     def _tables(self, parts: list[tuple[int, int]]) -> DataFrame:
-        reader = self._spark.read if self._schema is None else self._spark.read.schema(self._schema)
-        return reader.parquet(*[self.path(*part) for part in parts])
+        if not parts and self._schema is not None:
+            return self._spark.createDataFrame([], self._schema)
+        return self._reader().parquet(*[self.path(*part) for part in parts])
 
     def _write(self, rows: DataFrame, level: int, start: int) -> None:
         rows.sortWithinPartitions(*self._order).write.mode("overwrite").parquet(self.path(level, start))
@@ -81,13 +86,16 @@ class LevelledTable:
     def leave(self, batch_id: int, rows: DataFrame) -> None:
         self._write(rows, 0, batch_id)
 
-    def parts(self) -> list[tuple[int, int]]:
-        """The tables that hold all batches so far, from what lies in the folder: the largest one at every place."""
+    def parts(self, upto: int | None = None) -> list[tuple[int, int]]:
+        """The tables that hold all batches so far (the first ``upto``), from what lies in the folder:
+        the largest one at every place."""
         whole: dict[int, int] = {}
         for level_folder in list_folders(self._spark, self._folder):
             level = int(level_folder.rsplit("=", 1)[1])
             for table in list_folders(self._spark, level_folder):
                 start = int(table.rsplit("=", 1)[1])
+                if upto is not None and start + self._fan**level > upto:
+                    continue
                 if level > whole.get(start, -1) and self._whole(level, start):
                     whole[start] = level
         parts, start = [], 0
@@ -96,10 +104,14 @@ class LevelledTable:
             start += self._fan ** whole[start]
         return parts
 
-    def latest(self) -> DataFrame:
-        """All batches so far, for readers beside the stream; fails if there is none yet.
+    def latest(self, upto: int | None = None) -> DataFrame:
+        """All batches so far (the first ``upto``), for readers beside the stream; without a schema it fails if there is none.
+        ``LookupError``: the stream has gone on and merged batches beyond ``upto`` with earlier ones.
 
         Tables go only one batch after a merge has replaced them, so a read that
         takes longer than two batches may have to be started again.
         """
-        return self._tables(self.parts())
+        parts = self.parts(upto)
+        if upto is not None and sum(self._fan**level for level, _ in parts) != upto:
+            raise LookupError(f"the first {upto} batches are no longer apart from later ones")
+        return self._tables(parts)

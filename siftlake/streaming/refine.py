@@ -16,7 +16,9 @@ from siftlake.session import checkpointed, remove_path
 from siftlake.sinks.files import write_dlq, write_refined
 from siftlake.streaming.batches import member_writer
 from siftlake.streaming.dedup import mark_duplicates_stream
+from siftlake.streaming.events import EventTable
 from siftlake.streaming.expiry import ExpiryTable, decide
+from siftlake.streaming.levels import FAN
 
 # Fixed value: the flush timer, as the interval between micro-batches.
 DEFAULT_TRIGGER = "10 seconds"
@@ -37,7 +39,7 @@ def classify_stream(
 
 def batch_writer(
     base: str, as_of: object = None, max_records_per_file: int = 0, keep_classified: bool = False,
-    write_members: Callable[[DataFrame, int], None] | None = None,
+    write_members: Callable[[DataFrame, int], None] | None = None, levelled: bool = False, fan: int = FAN,
 ) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch; writing it again replaces it.
 
@@ -46,7 +48,8 @@ def batch_writer(
     It goes once they are written, unless ``keep_classified``. ``refined``:
     date-partitioned events. ``dlq``: JSON lines. ``counts``: events per source
     and outcome, and how long writing the refined events took. ``write_members``
-    gets the refined events as well.
+    gets the refined events as well. With ``levelled`` the refined events go to
+    the table at ``events`` instead, for ``read_committed``.
     """
     base = base.rstrip("/")
 
@@ -57,7 +60,12 @@ def batch_writer(
         classified = spark.read.schema(batch.schema).parquet(part)
         refined = classified.filter(F.col("outcome") == PROCESSED)
         start = time.monotonic()
-        write_refined(refined, f"{base}/refined", max_records_per_file, batch_id)
+        if levelled:
+            table = EventTable(spark, f"{base}/events", fan)
+            table.tidy(batch_id)
+            table.leave(batch_id, refined)
+        else:
+            write_refined(refined, f"{base}/refined", max_records_per_file, batch_id)
         spent = time.monotonic() - start
         if write_members is not None:
             write_members(refined, batch_id)
@@ -117,6 +125,8 @@ def start_refine(
     max_lag_seconds: int | None = None,
     keep_classified: bool = False,
     batch_shape: dict[str, int] | None = None,
+    levelled: bool = False,
+    fan: int = FAN,
 ) -> StreamingQuery:
     """Run the pipeline into ``base``. A failed batch is replayed from ``checkpoint``.
 
@@ -127,12 +137,16 @@ def start_refine(
 
     With ``batch_shape`` (``max_size``, ``interval``, ``start_us``) the batch of
     every refined event goes to ``base/members`` (``streaming/batches.py``).
+
+    With ``levelled`` the refined events become a table at ``base/events`` that
+    compacts itself and shows whole batches only (``streaming/events.py``);
+    ``fan`` tables of a level make one of the next.
     """
     policy = DedupPolicy(policy) if isinstance(policy, str) else policy
     members = None
     if batch_shape is not None:
         members = member_writer(f"{base.rstrip('/')}/members", f"{checkpoint.rstrip('/')}/ticks", **batch_shape)
-    write = batch_writer(base, as_of, max_records_per_file, keep_classified, members)
+    write = batch_writer(base, as_of, max_records_per_file, keep_classified, members, levelled, fan)
     if policy.kind in ("first", "ttl"):
         rows = evaluate(raw, as_of, mappers)
         write = table_writer(f"{checkpoint.rstrip('/')}/blocks", write, policy, base, max_lag_seconds)

@@ -18,6 +18,7 @@ from siftlake.sources.merge import merge_sources
 from siftlake.sources.refined import read_dlq, read_refined
 from siftlake.streaming.batches import member_writer, read_batches, read_members
 from siftlake.streaming.dedup import mark_duplicates_stream
+from siftlake.streaming.events import EventTable, committed_batches, read_committed, read_committed_dlq
 from siftlake.streaming.levels import LevelledTable
 from siftlake.streaming.refine import classify_stream, flush_batches, start_refine
 
@@ -196,6 +197,65 @@ def test_malformed_messages_in_a_stream(spark, tmp_path):
     assert sorted(r.event_id for r in dead)[0] == "" and {r.error_reason for r in dead} == {"malformed message"}
 
 
+def test_half_a_batch_is_never_seen(spark, tmp_path, monkeypatch):
+    """The batch fails with its events and dead letters written; readers see it once it has run again."""
+    from siftlake.streaming import refine as module
+
+    folder, base = tmp_path / "in", tmp_path / "out"
+
+    def go(i):
+        land(spark, folder, i)
+        stream = spark.readStream.schema(part(spark, 0).schema).parquet(str(folder))
+        start_refine(stream, str(base), str(base / "progress"), AS_OF, "off", available_now=True, levelled=True, fan=2).awaitTermination()
+
+    def seen():
+        return read_committed(spark, str(base), fan=2).count(), read_committed_dlq(spark, str(base)).count()
+
+    go(0)
+    first, write = seen(), module.write_dlq
+
+    def fail(*args, **more):
+        write(*args, **more)
+        raise OSError("the store is full")
+
+    monkeypatch.setattr(module, "write_dlq", fail)
+    with pytest.raises(Exception, match="store is full"):
+        go(1)
+    assert EventTable(spark, f"{base}/events", 2).latest().count() > first[0]
+    assert read_dlq(spark, f"{base}/dlq").count() > first[1]
+    assert seen() == first and committed_batches(spark, str(base)) == 1
+    monkeypatch.setattr(module, "write_dlq", write)
+    go(2)
+    want = refine(raw_events(spark, TESTDATA), AS_OF, "off")
+    assert seen() == (want.valid.count(), want.dlq.count())
+    day = want.valid.agg(F.date_format(F.min("ingest_timestamp"), "yyyy-MM-dd")).first()[0]
+    some = read_committed(spark, str(base), day, day, fan=2)
+    assert 0 < some.count() < seen()[0] and "PartitionFilters: [isnotnull(ingest_date" in some._jdf.queryExecution().toString()
+
+
+def test_readers_go_on_through_merges(spark, tmp_path):
+    events = refine(raw_events(spark, TESTDATA), AS_OF, "off").valid
+    sizes = [events.filter(F.col("seq") % 3 == i).count() for i in range(3)]
+    table = EventTable(spark, str(tmp_path), 2)
+    assert table.latest(0).count() == 0
+    for i in (0, 1):
+        table.tidy(i)
+        table.leave(i, events.filter(F.col("seq") % 3 == i))
+    before = table.latest(2)
+    table.tidy(2)  # merges both
+    table.leave(2, events.filter(F.col("seq") % 3 == 2))
+    assert before.count() == sizes[0] + sizes[1]
+    assert table.parts() == [(1, 0), (0, 2)] and table.latest(3).count() == sum(sizes)
+    with pytest.raises(LookupError):
+        table.latest(4)
+    (tmp_path / "level=1" / "from=0" / "_SUCCESS").unlink()  # as if the merge had not come to its end
+    assert table.parts() == [(0, 0), (0, 1), (0, 2)] and table.latest(3).count() == sum(sizes)
+    table.tidy(2)
+    assert table.parts() == [(1, 0), (0, 2)]
+    table.tidy(3)
+    assert not list(tmp_path.glob("level=0/from=[01]")) and table.latest(3).count() == sum(sizes)
+
+
 @pytest.mark.parametrize("step", ["write_refined", "write_dlq"])
 def test_a_batch_that_fails_midway_is_replayed_whole(spark, tmp_path, monkeypatch, step):
     """Its state and some of its outputs are there when it runs again."""
