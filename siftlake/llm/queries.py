@@ -21,7 +21,7 @@ END_OF_DOCUMENT, END_OF_PACKED = 2, 1
 #: The pages have no date of their own.
 CAPTURED = "1970-01-01T00:00:00Z"
 RULES = [
-    url_filter.Rule("org", "/", "allow"), url_filter.Rule("example.org", "/es/", "allow"), url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("org", "/", "allow"), url_filter.Rule("example.org", "/es/", "block"), url_filter.Rule("example.org", "/en/1", "block"),
     url_filter.Rule("com", "/fr/", "allow"), url_filter.Rule("com", "/de/", "block"),
 ]
 
