@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siftlake.functions.plan import spread
+
 AS_OF = "2024-02-01T00:00:00Z"
 
 _DIALECTS = {
@@ -90,7 +92,7 @@ FROM (
 
 def raw_from_events(events: DataFrame, hot: bool = False) -> DataFrame:
     """``raw_events`` over a given ``events`` frame, batch or streaming."""
-    events.createOrReplaceTempView("siftlake_events")
+    spread(events, "event_id", "ts").createOrReplaceTempView("siftlake_events")
     return events.sparkSession.sql(raw_events_sql("spark", "siftlake_events", hot))
 
 

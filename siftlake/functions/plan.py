@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_PARTS = 3
+
 
 def step(df: DataFrame, **columns: Column) -> DataFrame:
     """Add ``columns`` in one projection; they may build on the existing ones."""
@@ -34,3 +36,16 @@ def one_row(*parts: DataFrame) -> DataFrame:
     """Frames of one row each as one row, without a join."""
     merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
     return merged.agg(*[F.any_value(F.col(name), F.lit(True)).alias(name) for name in merged.columns])
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt out over all tasks by ``columns``, before work that costs far more per row than a shuffle.
+
+    A file is read by as many tasks as it has row groups, and what is written
+    from there keeps that shape; parsing would run in these few tasks alone.
+    Several parts a core, so that no core waits long for the last ones; the
+    number is given, as adaptive execution would merge them by their small size.
+    """
+    session = df.sparkSession
+    parts = max(_PARTS * session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, *columns)

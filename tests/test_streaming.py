@@ -6,11 +6,12 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from siftlake import refine
-from siftlake.catalog.fixture import AS_OF, raw_events
+from siftlake.catalog.fixture import AS_OF, raw_events, raw_from_events
 from siftlake.operators.batches import assign_batches, batches
 from siftlake.operators.dedup import DedupPolicy
 from siftlake.operators.metrics import FLUSH_BOUNDS, quantiles
 from siftlake.operators.rates import rates, read_rates, slot_writer, stream_rates
+from siftlake.session import scratch_path
 from siftlake.sinks.files import compact_refined
 from siftlake.sources.kafka import kafka_to_raw
 from siftlake.sources.landing import accept_envelopes, read_landing_stream
@@ -285,3 +286,19 @@ def test_a_batch_that_fails_midway_is_replayed_whole(spark, tmp_path, monkeypatc
     assert refined.count() == processed == refined.select("event_id", "ingest_timestamp", "event_timestamp", "source", "payload").count()
     assert read_dlq(spark, f"{base}/dlq").count() == sum(o in ("validation", "unhandled_error") for o in want.values())
     assert spark.read.parquet(f"{base}/counts").agg(F.sum("n")).first()[0] == len(want)
+
+
+def test_events_of_one_row_group_are_parsed_in_many_tasks(spark, tmp_path):
+    rows = spark.range(2_000).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts", "id % 7 AS user_id", "'click' AS event_type", "1.5D AS value", "'{}' AS props")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    batch = raw_events(spark, str(tmp_path))
+    assert batch.count() == 2_000 and batch.select(F.spark_partition_id()).distinct().count() >= 4
+    raw = raw_from_events(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/events.parquet"))
+    base = scratch_path(spark, "stream")
+    tasks = []
+
+    def seen(rows, _):
+        tasks.append(rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+
+    raw.writeStream.foreachBatch(seen).option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination()
+    assert sum(t["n"] for t in tasks[0]) == 2_000 and len(tasks[0]) >= 4 and max(t["n"] for t in tasks[0]) < 1_000
