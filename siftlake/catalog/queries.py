@@ -22,7 +22,7 @@ from siftlake.operators.load_report import load_report
 from siftlake.operators.normalize import ColumnMapping, normalize, register_mapper
 from siftlake.operators.rates import rates, read_rates, sliding_quantiles, stream_rates
 from siftlake.operators.validate import error_reason, rule_counts, validate
-from siftlake.plans.refine import MALFORMED, RefineResult, evaluate, refine
+from siftlake.plans.refine import MALFORMED, RefineResult, evaluate, refine, staged
 from siftlake.session import configure, remove_path, scratch_path
 from siftlake.sinks.files import show_in_memory, write_dlq, write_refined
 from siftlake.sinks.table import create_table, insert_if_absent
@@ -336,9 +336,11 @@ def sink_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = scratch_path(spark, "events")
     table = location.rsplit("/", 1)[1].replace("-", "_")
     create_table(spark, table, location, buckets=8)
-    valid = refined(spark, sf_dir, "off").valid
+    stage = scratch_path(spark, "stage")
+    valid = staged(refined(spark, sf_dir, "off").valid, stage)
     insert_if_absent(valid.filter(F.col("source").startswith("kafka-")), table)
     insert_if_absent(valid, table)
+    remove_path(spark, stage)
     return spark.table(table).select(
         "event_id", "source", us("ingest_timestamp", "ingest_us"), us("event_timestamp", "event_us"), "version"
     )

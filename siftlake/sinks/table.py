@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.operators.dedup import drop_duplicates
+from siftlake.plans.refine import staged
 from siftlake.schema import CANONICAL_COLUMNS, CANONICAL_EVENT
-from siftlake.session import checkpointed
+from siftlake.session import checkpointed, remove_path, scratch_path
 
 
 def create_table(spark: SparkSession, table: str, location: str | None = None, buckets: int = 200) -> None:
@@ -50,21 +51,29 @@ def insert_if_absent(events: DataFrame, table: str) -> None:
 
     A null in any column fails the batch. Doing it again changes nothing, so a
     replayed micro-batch is harmless.
+
+    The batch is staged once, so that what makes the events runs once: ids are
+    looked at several times, whole events when they are appended.
     """
     spark = events.sparkSession
-    required = [_required(c) for c in CANONICAL_COLUMNS]
-    if "seq" in events.columns:
-        candidates = drop_duplicates(events.select(*required, "seq"))
-    else:
-        # No order to go by: the least row of an id, so that equal rows count once.
-        rest = F.struct(*[c for c in CANONICAL_COLUMNS if c != "event_id"])
-        candidates = events.select(*required).groupBy("event_id").agg(F.min(rest).alias("_row")).select("event_id", "_row.*")
-    candidates = checkpointed(candidates)
-    low, high = candidates.agg(F.min("event_id"), F.max("event_id")).first()
-    if low is None:
-        return
-    fresh = checkpointed(candidates.join(stored_ids(candidates, table, low, high), "event_id", "left_anti"))
-    _append(fresh, table)
+    ordered = ["seq"] if "seq" in events.columns else []
+    path = scratch_path(spark, "insert")
+    try:
+        batch = staged(events.select(*[_required(c) for c in CANONICAL_COLUMNS], *ordered), path)
+        low, high = batch.agg(F.min("event_id"), F.max("event_id")).first()
+        if low is None:
+            return
+        # Settled before the table changes.
+        known = checkpointed(stored_ids(batch.select("event_id").distinct(), table, low, high))
+        if ordered:
+            candidates = drop_duplicates(batch)
+        else:
+            # No order to go by: the least row of an id, so that equal rows count once.
+            rest = F.struct(*[c for c in CANONICAL_COLUMNS if c != "event_id"])
+            candidates = batch.groupBy("event_id").agg(F.min(rest).alias("_row")).select("event_id", "_row.*")
+        _append(candidates.join(known, "event_id", "left_anti"), table)
+    finally:
+        remove_path(spark, path)
 
 
 def stored_ids(candidates: DataFrame, table: str, low: str, high: str) -> DataFrame:

@@ -280,3 +280,19 @@ def test_dead_letters_cost_no_dedup(raw, monkeypatch):
     result = refine(raw(rows), NOW)
     assert result.dlq.count() == 1
     result.discard()
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_an_insert_makes_its_events_once(spark, ordered):
+    made = spark.sparkContext.accumulator(0)
+
+    def mark(text):
+        made.add(1)
+        return text
+
+    table = f"made_once_{ordered}".lower()
+    create_table(spark, table, scratch_path(spark, "made"), buckets=2)
+    events = stored(spark, [f"id-{i % 30:03d}" for i in range(40)]).withColumn("payload", F.udf(mark)("payload"))
+    insert_if_absent(events.withColumn("seq", F.monotonically_increasing_id()) if ordered else events, table)
+    assert made.value == 40 and spark.table(table).count() == 30
+    spark.sql(f"DROP TABLE {table}")
