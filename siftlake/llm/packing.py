@@ -55,30 +55,39 @@ def best_cuts(places: np.ndarray, penalty: np.ndarray, length: int) -> list[int]
     n = len(places)
     powers = 1 << np.arange(int(length).bit_length())
     powers = powers[powers <= length]
-    found = np.searchsorted(places, places[:, None] - powers)
-    exact = (places[np.minimum(found, n - 1)] == places[:, None] - powers) & (places[:, None] >= powers)
-    jumps: list[list[int]] = [[] for _ in range(n)]
-    for j, k in np.argwhere(exact).tolist():
-        jumps[j].append(int(found[j, k]))
+    # The number of each place, or -1 where none is; ``length`` in front, as far back as a power reaches.
+    number = np.full(int(places[-1]) + length + 1, -1, np.int64)
+    number[places + length] = np.arange(n)
+    found = number[places[:, None] + (length - powers)]
+    jumps: dict[int, list[int]] = {}
+    for j, i in zip(np.nonzero(found >= 0)[0].tolist(), found[found >= 0].tolist(), strict=True):
+        jumps.setdefault(j, []).append(i)
     at, extra = places.tolist(), (penalty + PRICE).tolist()
     cost, back = [0] * n, [0] * n
-    queue: deque[tuple[int, int]] = deque([(0, 0)])  # (cost + place, number), costs ascending
-    pop_left, pop, push = queue.popleft, queue.pop, queue.append
+    # What waits in the queue: numbers, the places they are, cost + place; these ascend.
+    numbers, queued, costs = deque([0]), deque([0]), deque([0])
     for j in range(1, n):
         place = at[j]
-        while at[queue[0][1]] < place - length:
-            pop_left()
-        best, origin = queue[0]
-        best += length - place
-        for i in jumps[j]:
-            if cost[i] < best:
-                best, origin = cost[i], i
+        least = place - length
+        while queued[0] < least:
+            queued.popleft()
+            numbers.popleft()
+            costs.popleft()
+        best, origin = costs[0] - least, numbers[0]
+        if j in jumps:
+            for i in jumps[j]:
+                if cost[i] < best:
+                    best, origin = cost[i], i
         best += extra[j]
         cost[j], back[j] = best, origin
         best += place
-        while queue and queue[-1][0] >= best:
-            pop()
-        push((best, j))
+        while costs and costs[-1] >= best:
+            costs.pop()
+            numbers.pop()
+            queued.pop()
+        costs.append(best)
+        numbers.append(j)
+        queued.append(place)
     cuts, j = [], n - 1
     while j > 0:
         cuts.append(j)

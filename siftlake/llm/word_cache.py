@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -92,14 +93,14 @@ class CachedEncoder:
         if len(self.chunks) > CHUNKS:
             self.chunks.clear()
         known, blank = self.chunks, " " if self.blank else ""
-        for chunk in chunks.distinct:
-            if chunk not in known:
-                known[chunk] = self.chunk(chunk, blank)
-        ids = [known[chunk] for chunk in chunks.distinct]
-        ids += [self.chunk(chunk, "") for chunk in chunks.leading] if self.blank else [known[x] for x in chunks.leading]
-        unsafe = [x is None for x in ids]
+        for chunk in filterfalse(known.__contains__, chunks.distinct):
+            known[chunk] = self.chunk(chunk, blank)
+        ids = [*map(known.__getitem__, chunks.distinct)]
+        ids += [self.chunk(chunk, "") for chunk in chunks.leading] if self.blank else map(known.__getitem__, chunks.leading)
+        if None not in ids:
+            return chunks.join(ids)
         out = chunks.join([x or b"" for x in ids])
-        for row in chunks.rows_with(unsafe):
+        for row in chunks.rows_with([x is None for x in ids]):
             out[row] = self.whole(texts[row].as_py() or "")
         return out
 
