@@ -10,7 +10,8 @@ after its expiry, and so on.
 * Longer ones never gather in one task. Every event gets a number and the number
   of its successor by two range sorts; the accepted events are those reached
   from the first of each id, found in a logarithmic number of joins on that
-  unique number.
+  unique number: jumps are doubled, each time only from where a jump ends, then
+  taken from the first events on, the longest first.
 """
 
 from __future__ import annotations
@@ -80,22 +81,23 @@ def _chain(instants: DataFrame, ids: DataFrame, ttl_us: int) -> DataFrame:
     jump = checkpointed(jump.filter(F.col("node") != F.col("next")))
 
     roots = nodes.groupBy("event_id").agg(F.min("node").alias("node")).select("node")
-    # Beyond the roots only successors can be reached; dropping the rest first
-    # shrinks every later join.
-    reachable = jump.select(F.col("next").alias("node")).unionByName(roots).distinct()
-    jump = checkpointed(jump.join(reachable, "node", "left_semi"))
-    reached = checkpointed(roots)
-
     longest = ids.agg(F.max((F.col("last_us") - F.col("first_us")) / ttl_us)).first()[0] or 0
     steps = max(1, math.ceil(math.log2(longest + 2)))
-    for step in range(steps):
+    # From a root, jumps of 2^k start at multiples of 2^k only, which 2^k jumps reach: chains of one id run into each
+    # other, so fewer and fewer nodes are left as k grows.
+    jumps = [jump]
+    for _ in range(1, steps):
+        ends = jump.select(F.col("next").alias("node")).unionByName(roots).distinct()
+        far = jump.select(F.col("node").alias("_mid"), F.col("next").alias("_far"))
+        jump = checkpointed(
+            jump.join(ends, "node", "left_semi").join(far, F.col("next") == F.col("_mid")).select("node", F.col("_far").alias("next"))
+        )
+        jumps.append(jump)
+    # The longest jumps first: those of 2^k then start at the multiples of 2^(k + 1) alone.
+    reached = checkpointed(roots)
+    for jump in reversed(jumps):
         onward = reached.join(jump, "node").select(F.col("next").alias("node"))
         reached = checkpointed(reached.unionByName(onward).distinct())
-        if step + 1 < steps:
-            far = jump.select(F.col("node").alias("_mid"), F.col("next").alias("_far"))
-            jump = checkpointed(
-                jump.join(far, F.col("next") == F.col("_mid")).select("node", F.col("_far").alias("next"))
-            )
     return nodes.filter(F.col("seq").isNotNull()).join(reached, "node", "left_semi").select(
         "event_id", "at_us", "seq"
     )

@@ -3,12 +3,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from siftlake.operators import dedup_ttl
 from siftlake.operators.attach import attach
 from siftlake.operators.dedup import DedupPolicy, drop_duplicates, mark_duplicates, seen_size
 from siftlake.operators.dedup_lru import lru_duplicates
 from siftlake.operators.dedup_ttl import ttl_duplicates
 from siftlake.operators.dominance import with_lower
 from siftlake.operators.ordering import with_position
+from siftlake.session import checkpointed
 
 MINUTE = 60_000_000
 
@@ -97,6 +99,21 @@ def test_ttl_fold_and_distributed_chain(spark, trace, ttl):
         assert set(keys) == want, fold_limit
 
 
+def test_longer_jumps_start_at_fewer_events(spark, monkeypatch):
+    trace, jumps = random_trace(5, 2_000, 1, 100_000), []
+
+    def counted(df):
+        done = checkpointed(df)
+        if done.columns == ["node", "next"]:
+            jumps.append(done.count())
+        return done
+
+    monkeypatch.setattr(dedup_ttl, "checkpointed", counted)
+    narrow = events(spark, trace).select("event_id", F.unix_micros("ingest_timestamp").alias("at_us"), "seq")
+    assert {r.seq for r in ttl_duplicates(narrow, 400, 3).collect()} == brute_ttl(trace, 400)
+    assert jumps[-1] < jumps[0] / 8
+
+
 @pytest.mark.parametrize("capacity, hits", [(9, 0), (10, 90)])
 def test_lru_cyclic_trace(spark, capacity, hits):
     """Ids that come round in turn are the worst case: every repeat is as far as the capacity."""
