@@ -17,13 +17,12 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siftlake.llm.common import Chunks, in_arrow, only, slices
+from siftlake.llm.common import Chunks, Known, in_arrow, only, slices
 
 #: Bytes of a word from which the heap takes over; words in one recursive query; entries of a worker's caches.
 LONG, WORDS, CACHE = 400, 40_000, 500_000
@@ -89,9 +88,9 @@ class DuckBpe:
 
         self.ranks, self.pattern = read_ranks(path), regex.compile(pattern)
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes | None] = {}
-        self.decoded: dict[bytes, bytes] = {}
+        # Ids of words and chunks, and the bytes decoded from them; None for a chunk that is not safe to cut out.
+        self.words: dict[str, tuple[bytes, bytes]] = Known(CACHE)
+        self.chunks: dict[str, tuple[bytes, bytes] | None] = Known(CACHE)
         self.con = duckdb.connect()
         self.con.execute("SET threads = 1")
         left, right, rank = [], [], []
@@ -125,18 +124,14 @@ class DuckBpe:
                 "word": np.repeat(np.arange(len(group), dtype=np.int32), sizes), "pos": pos.astype(np.int32), "tok": tok,
                 "rgt": np.where(last, -1, np.roll(tok, -1)).astype(np.int32), "nxt": np.where(last, -1, pos + 1).astype(np.int32)}))
             rows = self.con.execute(ENCODE).fetchnumpy()
-            cuts = np.searchsorted(rows["word"], np.arange(1, len(group)))
-            for i, ids in zip(group, np.split(np.asarray(rows["tok"]).astype("<u4"), cuts), strict=True):
-                out[i] = ids
+            ids, cuts = np.asarray(rows["tok"]).astype("<u4"), np.searchsorted(rows["word"], np.arange(len(group) + 1)).tolist()
+            for i, a, b in zip(group, cuts, cuts[1:], strict=False):
+                out[i] = ids[a:b]
         return out
 
     def decode(self, runs: list[bytes]) -> list[bytes]:
         """The bytes of runs of ids (little-endian unsigned 32-bit integers), in order."""
-        new = [run for run in dict.fromkeys(runs) if run and run not in self.decoded]
-        if len(self.decoded) + len(new) > CACHE:
-            self.decoded.clear()
-            new = [run for run in dict.fromkeys(runs) if run]
-        self.decoded[b""] = b""
+        decoded, new = {b"": b""}, [run for run in dict.fromkeys(runs) if run]
         for start in range(0, len(new), WORDS):
             group = new[start:start + WORDS]
             sizes = np.array([len(run) // 4 for run in group])
@@ -144,13 +139,29 @@ class DuckBpe:
             self.con.register("ids", pa.table({
                 "run": np.repeat(np.arange(len(group), dtype=np.int32), sizes), "pos": pos.astype(np.int32),
                 "tok": np.frombuffer(b"".join(group), "<u4").astype(np.int32)}))
-            self.decoded.update(zip(group, [x for x, in self.con.execute(DECODE).fetchall()], strict=True))
-        return [self.decoded[run] for run in runs]
+            decoded.update(zip(group, [x for x, in self.con.execute(DECODE).fetchall()], strict=True))
+        return [decoded[run] for run in runs]
 
     def _learn(self, words: set[str]) -> None:
-        new = list(words.difference(self.words))
-        for word, ids in zip(new, self.encode_words([w.encode() for w in new]), strict=True):
-            self.words[word] = ids.tobytes()
+        new = self.words.missing([*words])
+        ids = [x.tobytes() for x in self.encode_words([w.encode() for w in new])]
+        self.words.update(zip(new, zip(ids, self.decode(ids), strict=True), strict=True))
+
+    def _joined(self, words: list[str]) -> tuple[bytes, bytes]:
+        """Ids of words in a row, and the bytes decoded from them."""
+        if len(words) == 1:
+            return self.words[words[0]]
+        found = [self.words[word] for word in words]
+        return b"".join([x for x, _ in found]), b"".join([x for _, x in found])
+
+    def _learn_chunks(self, chunks: list[str], before: str, known: dict[str, tuple[bytes, bytes] | None]) -> None:
+        """``known`` gets new chunks with ``before`` in front; a chunk of nothing or with white space at an end gets None."""
+        findall = self.pattern.findall
+        matches = [findall(before + x) if x and not x[0].isspace() and not x[-1].isspace() else None for x in chunks]
+        self._learn({word for found in matches if found for word in found})
+        words = self.words
+        known.update(zip(chunks, [
+            None if found is None else words[found[0]] if len(found) == 1 else self._joined(found) for found in matches], strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[list[bytes], list[bytes]]:
         """Each text's ids as little-endian unsigned 32-bit integers, and the bytes decoded from them.
@@ -158,26 +169,19 @@ class DuckBpe:
         A blank between two characters that are no white space always starts a match of the pattern, so the
         chunks before and after it are matched by themselves; any other text is matched as a whole.
         """
-        if len(self.chunks) > CACHE or len(self.words) > CACHE:
-            self.chunks.clear()
-            self.words.clear()
-        chunks = Chunks(texts)
-        pieces = [*[" " + x for x in chunks.distinct], *chunks.leading]
-        matches = {}
-        for chunk in dict.fromkeys(pieces):
-            if chunk not in self.chunks:
-                bare = chunk.removeprefix(" ")
-                matches[chunk] = self.pattern.findall(chunk) if bare and not bare[0].isspace() and not bare[-1].isspace() else None
-        unsafe = [matches.get(x, b"") is None or self.chunks.get(x, b"") is None for x in pieces]
-        rows = {row: self.pattern.findall(texts[row].as_py() or "") for row in chunks.rows_with(unsafe)}
-        self._learn({word for found in chain(matches.values(), rows.values()) if found for word in found})
-        for chunk, found in matches.items():
-            self.chunks[chunk] = None if found is None else b"".join([self.words[word] for word in found])
-        runs = [self.chunks[x] or b"" for x in pieces]
-        ids, back = chunks.join(runs), chunks.join(self.decode(runs))
+        chunks, known = Chunks(texts), self.chunks
+        self._learn_chunks(known.missing(chunks.distinct), " ", known)
+        first: dict[str, tuple[bytes, bytes] | None] = {}
+        self._learn_chunks(chunks.leading, "", first)
+        runs = [*map(known.__getitem__, chunks.distinct), *map(first.__getitem__, chunks.leading)]
+        rows = {}
+        if None in runs:
+            rows = {row: self.pattern.findall(texts[row].as_py() or "") for row in chunks.rows_with([x is None for x in runs])}
+            runs = [x or (b"", b"") for x in runs]
+        ids, back = ([*map(chunks.join, zip(*runs, strict=True))] if runs else ([], []))
+        self._learn({word for found in rows.values() for word in found})
         for row, found in rows.items():
-            own = [self.words[word] for word in found]
-            ids[row], back[row] = b"".join(own), b"".join(self.decode(own))
+            ids[row], back[row] = self._joined(found)
         return ids, back
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable, Iterator
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +94,25 @@ def decoded(text: str) -> str:
     return html.unescape(_TOO_LARGE.sub("\ufffd", text)) if "&" in text else text
 
 
+class Known(dict):
+    """A bounded cache of a Python worker. Once more than ``most`` entries are in it, it keeps half as many at most: those asked
+    for again since it was last full. Most words of a text occur nowhere else; they would push out the ones that go on coming."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.again = most, set()
+
+    def missing(self, keys: list) -> list:
+        """Those of the distinct ``keys`` that are not known; entries of the others stay until the next call."""
+        self.again.update(filter(self.__contains__, keys))
+        if len(self) > self.most:
+            kept = {key: self[key] for key in islice(self.again, self.most // 2)}
+            self.clear()
+            self.update(kept)
+            self.again.clear()
+        return [*filterfalse(self.__contains__, keys)]
+
+
 class Chunks:
     """The blank-separated chunks of texts (null: one empty chunk), each distinct one once.
 

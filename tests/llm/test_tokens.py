@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -155,6 +156,20 @@ def test_recursion_and_heap_contract_alike():
         assert ids.tolist() == byte_bpe.contract(word, engine.ranks)
 
 
+def test_words_that_go_on_coming_outlast_a_full_cache(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE", 40)
+    bpe, contracted = byte_bpe.DuckBpe(RANKS, public_tokenizers.PATTERN), []
+    encode_words = bpe.encode_words
+    monkeypatch.setattr(bpe, "encode_words", lambda words: contracted.extend(words) or encode_words(words))
+    want = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    for batch in range(8):
+        text = " ".join(["x", "cat", *[f"w{chr(97 + batch)}{chr(97 + i)}" for i in range(26)], "cat"])
+        ids, back = bpe.encode(pa.array([text, None]))
+        assert ids == [np.array(want.encode_ordinary(text), "<u4").tobytes(), b""] and back == [text.encode(), b""]
+    assert contracted.count(b" cat") == 1
+    assert max(len(bpe.words), len(bpe.chunks)) <= 40 + 28
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.token_digests(none, BYTE, 2).isEmpty()
