@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siftlake.llm import byte_bpe, common, packing, token_files
+from siftlake.llm import byte_bpe, common, packing, token_files, word_cache
 from siftlake.session import scratch_path
 
 BYTE, RANKS, WORD = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "word_bpe_49k.json"))
@@ -170,6 +170,13 @@ def test_words_that_go_on_coming_outlast_a_full_cache(monkeypatch):
     assert max(len(bpe.words), len(bpe.chunks)) <= 40 + 28
 
 
+def test_a_word_is_one_chunk_whatever_follows_it():
+    words = word_cache.CachedEncoder(WORD, False)
+    texts = ["Dose dose, DOSE.\ndose\nÉté! ×, x(,) don't. DON'T", "<|endoftext|>. <|EndOfText|>.", None, "ΑΣ. aΣ, é. 'S. a\u0301. \n.x.\r\ny."]
+    assert words.encode(pa.array(texts)) == [words.whole(x or "") for x in texts]
+    assert {"dose", ",", "."} <= words.chunks.keys() and not [x for x in words.chunks if x.lower().startswith("dose") and x != "dose"]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.token_digests(none, BYTE, 2).isEmpty()
