@@ -32,9 +32,15 @@ def only(df: DataFrame, **kinds: str) -> DataFrame:
 
 
 def in_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` whose tasks find this package wherever they run."""
+    """``mapInArrow`` whose tasks find this package wherever they run, and leave their worker no Arrow memory that is free."""
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in task(batches):
+            yield batch
+            pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()
+
     ship_package(df.sparkSession)
-    return df.mapInArrow(task, schema)
+    return df.mapInArrow(lean, schema)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
